@@ -16,21 +16,27 @@ def edge_trim(text: Column) -> Column:
 
 def value_tokens(text: Column) -> Column:
     """All `$...$` tokens from left to right, wrapped as found."""
-    return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+    return F.when(F.contains(text, F.lit("$")), found).otherwise(
+        F.array().cast("array<string>")
+    )
 
 
 def without_tokens(text: Column) -> Column:
-    return F.regexp_replace(text, TOKEN_PATTERN, "")
+    return F.when(
+        F.contains(text, F.lit("$")), F.regexp_replace(text, TOKEN_PATTERN, "")
+    ).otherwise(text)
 
 
 def token_text(token: Column) -> Column:
     """The trimmed text between the two dollar signs."""
-    return edge_trim(F.translate(token, "$", ""))
+    return edge_trim(F.btrim(token, F.lit("$")))
 
 
 def clean_content(content: Column) -> Column:
     """Content without its tokens; runs of two or more white spaces become one blank."""
-    return F.regexp_replace(edge_trim(without_tokens(content)), r"\s{2,}", " ")
+    bare = edge_trim(without_tokens(content))
+    return F.when(bare.rlike(r"\s\s"), F.regexp_replace(bare, r"\s{2,}", " ")).otherwise(bare)
 
 
 def decoded(value: Column, encoding: str = "UTF-8") -> Column:

@@ -11,32 +11,25 @@ def lenient_timestamp(text: Column) -> Column:
     30 February) becomes the last day of the month, and 24:00:00.000 the next midnight. Day 0 or
     32, year 0, month 13 and second 60 are impossible.
     """
-    def field(start: int, length: int) -> Column:
-        return F.substring(text, start, length).try_cast("int")
-
-    year, month, day = field(1, 4), field(6, 2), field(9, 2)
-    hour, minute = field(12, 2), field(15, 2)
-    second = F.substring(text, 18, 6).try_cast("decimal(16,6)")
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    month_end = (
-        F.when(month.isin(4, 6, 9, 11), 30)
-        .when(month == 2, F.when(leap, 29).otherwise(28))
-        .otherwise(31)
-    )
-    midnight = F.substring(text, 12, 12) == "24:00:00.000"
-    possible = (
-        (year >= 1)
-        & month.between(1, 12)
-        & day.between(1, 31)
-        & (midnight | (hour <= 23))
-        & (minute <= 59)
-        & (second < 60)
-    )
-    stamp = F.try_make_timestamp_ntz(
-        year, month, F.least(day, month_end), F.when(midnight, 0).otherwise(hour), minute, second
+    midnight = F.endswith(text, F.lit("24:00:00.000"))
+    plain = F.replace(text, F.lit("/"), F.lit("-"))
+    start = F.when(midnight, F.overlay(plain, F.lit("00"), 12, 2)).otherwise(plain)
+    day = F.substring(text, 9, 2)
+
+    def stamp(day_of_month: str | None = None) -> Column:
+        dated = start if day_of_month is None else F.overlay(start, F.lit(day_of_month), 9, 2)
+        return dated.try_cast("timestamp_ntz")
+
+    # Only a late day that did not parse is tried again, with the days before it.
+    found = F.coalesce(
+        stamp(),
+        F.when(day == "31", stamp("30")),
+        F.when(day.isin("30", "31"), stamp("29")),
+        F.when(day.isin("29", "30", "31"), stamp("28")),
     )
     return F.when(
-        possible, F.when(midnight, stamp + F.expr("INTERVAL 1 DAY")).otherwise(stamp)
+        ~F.startswith(text, F.lit("0000")),
+        F.when(midnight, found + F.expr("INTERVAL 1 DAY")).otherwise(found),
     )
 
 

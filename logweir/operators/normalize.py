@@ -1,8 +1,10 @@
 """Log lines to typed records and rejects.
 
-A pure projection: no shuffle, no Python. Each stage of the split is a column of its own, and the
-finished record leaves through one `inline`, so that a filter on the outcome reads the finished
-columns; otherwise the optimizer would copy the whole parse into that filter and run it twice.
+A pure projection: no shuffle, no Python, one stage of generated code. Each part of a line is a
+column of its own. The cut line and the finished record each leave through an `inline` of one
+struct, for two reasons. A filter on the outcome then reads finished columns; the optimizer would
+otherwise copy the whole parse into that filter and run it twice. And the generated code falls
+into methods well below 8,000 bytes of bytecode, beyond which the JVM only interprets it.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -39,8 +41,9 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     carried = [c for c in lines.columns if c != "line"]
     line, body, head, parts = (F.col(c) for c in ("line", "_body", "_head", "_parts"))
     content, tail, tokens = (F.col(c) for c in ("_content", "_tail", "_tokens"))
-    log_type, log_id, stamp = (F.col(c) for c in ("_type", "_id", "_stamp"))
-    value_text, minutes = F.col("_value_text"), F.col("_minutes")
+    log_type, log_id, stamp = (F.col(c) for c in ("log_type", "log_id", "log_timestamp"))
+    first, n_tokens, value_text = (F.col(c) for c in ("_first", "_n_tokens", "log_value_text"))
+    minutes = F.col("_minutes")
 
     marks = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(m.MARK)))) / len(m.MARK)
     header_ok = (
@@ -48,82 +51,105 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         & F.get(head, 1).rlike(r"(?s)\A\[.") & F.get(head, 2).rlike(r"(?s)\A\[.")
         & (F.size(head) == 4)
     )
-    split = (
+    cut = (
         lines.where(marked(line))
         .select(
             *carried,
             marks.cast("int").alias("_marks"),
-            F.split_part(line, F.lit(m.MARK), F.lit(2)).alias("_body"),
+            F.substring_index(F.substring_index(line, m.MARK, 2), m.MARK, -1).alias("_body"),
         )
         .select(*carried, "_marks", "_body", F.split(body, r"\]", 4).alias("_head"))
         .select(
             *carried, "_marks", "_body",
             F.coalesce(header_ok, F.lit(False)).alias("_header_ok"),
             F.substr(F.get(head, 0), F.lit(2)).alias("_stamp_text"),
-            F.substr(F.get(head, 1), F.lit(2)).alias("_type"),
-            F.substr(F.get(head, 2), F.lit(2)).alias("_id"),
+            F.substr(F.get(head, 1), F.lit(2)).alias("log_type"),
+            F.substr(F.get(head, 2), F.lit(2)).alias("log_id"),
             F.split(F.get(head, 3), r"\|", -1).alias("_parts"),
         )
-        .select(
-            *carried, "_marks", "_body", "_header_ok", "_stamp_text", "_type", "_id", "_parts",
-            F.get(parts, 1).alias("_content"),
-            F.coalesce(F.get(parts, 2), F.lit("")).alias("_tail"),
-        )
-        .select(
-            *carried, "_marks", "_body", "_header_ok", "_stamp_text", "_type", "_id", "_parts",
-            "_content", "_tail",
+    )
+    cut = _finish(
+        cut, carried,
+        *map(F.col, ("_marks", "_body", "_header_ok", "_stamp_text", "log_type", "log_id")),
+        F.get(parts, 0).alias("_lead"),
+        F.size(parts).alias("_n_parts"),
+        F.get(parts, 1).alias("_content"),
+        F.coalesce(F.get(parts, 2), F.lit("")).alias("_tail"),
+    )
+    given = [c for c in cut.columns if c != "_stamp_text"]
+    typed = (
+        cut.select(
+            *given,
+            F.when(F.col("_header_ok"), lenient_timestamp(F.col("_stamp_text")))
+            .alias("log_timestamp"),
             F.concat(value_tokens(content), value_tokens(tail)).alias("_tokens"),
         )
         .select(
-            *carried, "_marks", "_body", "_header_ok", "_stamp_text", "_type", "_id", "_parts",
-            "_content", "_tail", "_tokens",
-            F.when(F.col("_header_ok"), lenient_timestamp(F.col("_stamp_text"))).alias("_stamp"),
-            F.when(log_type.isin(m.NUMERIC, m.TIME), token_text(F.get(tokens, 0)))
-            .alias("_value_text"),
+            *given, "log_timestamp", "_tokens",
+            F.size(tokens).alias("_n_tokens"),
+            F.get(tokens, 0).alias("_first"),
+        )
+        .withColumn(
+            "log_value_text", F.when(log_type.isin(m.NUMERIC, m.TIME), token_text(first))
         )
         .withColumn("_minutes", F.when(log_type == m.TIME, minutes_of_day(value_text)))
     )
 
-    numeric, compare, time = (log_type == t for t in (m.NUMERIC, m.COMPARE, m.TIME))
-    has_time_token = F.exists(tokens, lambda t: F.contains(t, F.lit(":")))
-    reason = (
-        F.when(F.col("_marks") < 2, "R1")
-        .when(F.col("_marks") > 2, "R2")
-        .when(~F.col("_header_ok"), "R3")
-        .when(F.get(parts, 0) != "", "R4")
-        # No rest at all splits into one empty part: the opening pipe is missing there too.
-        .when(F.size(parts) == 1, "R4")
-        .when(F.size(parts) == 2, "R5")
-        .when(F.size(parts) > 3, "R6")
-        .when(edge_trim(without_tokens(tail)) != "", "R7")
-        .when(~log_type.isin(*m.LOG_TYPES), "R8")
-        .when(~log_id.rlike(m.LOG_ID_PATTERN), "R9")
-        .when(stamp.isNull(), "R10")
-        .when(numeric & (F.size(tokens) != 1), "R11")
-        .when(numeric & F.contains(F.get(tokens, 0), F.lit(":")), "R12")
-        .when(numeric & ~is_number(value_text), "R13")
-        .when(compare & (F.size(tokens) != 2), "R14")
-        .when(compare & has_time_token, "R15")
-        .when(time & (F.size(tokens) != 1), "R16")
-        .when(time & ~F.contains(F.get(tokens, 0), F.lit(":")), "R17")
-        .when(time & F.col("_minutes").isNull(), "R18")
-        .when(~(numeric | compare | time) & (F.size(tokens) > 0), "R19")
+    colon = F.lit(":")
+    layout_fault = (
+        F.when(F.col("_marks") < 2, 1)
+        .when(F.col("_marks") > 2, 2)
+        .when(~F.col("_header_ok"), 3)
+        # Text before the first pipe, or no pipe and no text at all.
+        .when((F.col("_lead") != "") | (F.col("_n_parts") == 1), 4)
+        .when(F.col("_n_parts") == 2, 5)
+        .when(F.col("_n_parts") > 3, 6)
+        .when(edge_trim(without_tokens(tail)) != "", 7)
+        .when(~log_type.isin(*m.LOG_TYPES), 8)
+        .when(~log_id.rlike(m.LOG_ID_PATTERN), 9)
+        .when(stamp.isNull(), 10)
     )
-    value = F.when(numeric, number(value_text)).when(time, minutes.cast(VALUE_TYPE))
-    raw_log = F.concat(F.lit(m.MARK), body, F.lit(m.MARK))
-    record = F.struct(
-        log_type.alias("log_type"),
-        log_id.alias("log_id"),
-        stamp.alias("log_timestamp"),
-        F.when(numeric, clean_content(content)).otherwise(content).alias("log_content"),
-        value.alias("log_value"),
-        value_text.alias("log_value_text"),
-        (numeric & number(value_text).isNull()).alias("value_overflow"),
-        F.when(F.col("_marks") == 2, raw_log).alias("raw_log"),
-        reason.alias("reason_code"),
+    value_fault = (
+        F.when(
+            log_type == m.NUMERIC,
+            F.when(n_tokens != 1, 11)
+            .when(F.contains(first, colon), 12)
+            .when(~is_number(value_text), 13),
+        )
+        .when(
+            log_type == m.COMPARE,
+            F.when(n_tokens != 2, 14)
+            .when(F.contains(first, colon) | F.contains(F.get(tokens, 1), colon), 15),
+        )
+        .when(
+            log_type == m.TIME,
+            F.when(n_tokens != 1, 16)
+            .when(~F.contains(first, colon), 17)
+            .when(minutes.isNull(), 18),
+        )
+        .when(n_tokens > 0, 19)
     )
-    return split.select(*carried, "_tokens", F.inline(F.array(record))).select(
-        *carried, *RECORD_COLUMNS, "reason_code", _detail().alias("detail")
+    records = _finish(
+        typed, carried,
+        log_type, log_id, stamp,
+        F.when(log_type == m.NUMERIC, clean_content(content)).otherwise(content)
+        .alias("log_content"),
+        F.when(log_type == m.NUMERIC, number(value_text)).otherwise(minutes.cast(VALUE_TYPE))
+        .alias("log_value"),
+        value_text,
+        F.coalesce(layout_fault, value_fault).alias("_fault"),
+        # Only looked at in rejects: the rest of what their detail is about.
+        F.col("_marks"), F.col("_n_tokens"), F.col("_first"), F.col("_body"),
+    )
+    raw_log = F.when(F.col("_marks") == 2, F.concat(F.lit(m.MARK), body, F.lit(m.MARK)))
+    return records.select(
+        *carried,
+        *[c for c in RECORD_COLUMNS if c not in ("value_overflow", "raw_log")],
+        # A number that the decimal type cannot hold is kept as text.
+        ((log_type == m.NUMERIC) & F.col("log_value").isNull()).alias("value_overflow"),
+        raw_log.alias("raw_log"),
+        F.concat(F.lit("R"), F.col("_fault").cast("string")).alias("reason_code"),
+        _detail().alias("detail"),
     )
 
 
@@ -143,17 +169,19 @@ def normalize(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted(parsed), rejected(parsed)
 
 
+def _finish(df: DataFrame, carried: list[str], *columns: Column) -> DataFrame:
+    """Select `columns` as finished values that no later filter looks through."""
+    return df.select(*carried, F.inline(F.array(F.struct(*columns))))
+
+
 def _detail() -> Column:
     """Reason in words, with the part of the line it is about."""
-    reason = F.col("reason_code")
-    words = F.lit(None).cast("string")
-    for code, text in reversed(m.REJECT_REASONS.items()):
-        words = F.when(reason == code, text).otherwise(words)
+    fault = F.col("_fault")
+    words = F.get(F.array(*[F.lit(text) for text in m.REJECT_REASONS.values()]), fault - 1)
     about = (
-        F.when(reason == "R8", F.col("log_type"))
-        .when(reason == "R9", F.col("log_id"))
-        .when(reason.isin("R11", "R14", "R16"), F.size("_tokens").cast("string"))
-        .when(reason.isin("R12", "R13", "R17", "R18"), F.get(F.col("_tokens"), 0))
-        .when(reason == "R19", F.col("log_type"))
+        F.when(fault.isin(8, 19), F.col("log_type"))
+        .when(fault == 9, F.col("log_id"))
+        .when(fault.isin(11, 14, 16), F.col("_n_tokens").cast("string"))
+        .when(fault > 11, F.col("_first"))
     )
-    return F.concat_ws(": ", words, about)
+    return F.when(fault > 0, F.concat_ws(": ", words, about))
