@@ -36,8 +36,8 @@ EXPRESSION = (
 )
 KIND = "CASE WHEN user_id % 4 = 2 THEN '배치' ELSE '주기' END"
 
-# Parts of a line, then one template per shape: 1 to 19 are rejected for that reason, 20 and up
-# are odd but good, the rest is plain good, and every eleventh line is no record at all.
+# Parts of a line, then one template per shape: 1 to 19 are rejected for that reason, 20 to 31
+# are odd but good, the rest is simply good, and every eleventh line is no record at all.
 LINE_PARTS = {
     "stamp": "{stamp}",
     "hhmm": "{hhmm}",
@@ -45,9 +45,7 @@ LINE_PARTS = {
     "id": "upper(event_type) || '_' || user_id",
     "v": "cast(cast(value AS decimal(18,2)) AS varchar(40))",
 }
-LINE = """
-CASE WHEN event_id % 11 = 0 THEN '[' || stamp || '] INFO  ' || event_type || ' ' || user_id
-ELSE CASE event_id % 40
+LAYOUT_FAULTS = """CASE event_id % 40
  WHEN 1 THEN head || '정보][' || id || ']|' || event_type
  WHEN 2 THEN head || '정보][' || id || ']|a|@@@ ' || head || '정보][' || id || ']|b|@@@'
  WHEN 3 THEN '@@@[' || left(stamp, 22) || '][정보][' || id || ']|' || event_type || '|@@@'
@@ -56,6 +54,8 @@ ELSE CASE event_id % 40
  WHEN 6 THEN head || '정보][' || id || ']|' || event_type || '|x|@@@'
  WHEN 7 THEN head || '수치][' || id || ']|' || event_type || '|$' || v || '$ 건@@@'
  WHEN 8 THEN head || '기타][' || id || ']|' || event_type || '|@@@'
+END"""
+OTHER_FAULTS = """CASE event_id % 40
  WHEN 9 THEN head || '수치][' || lower(id) || ']|' || event_type || '|$' || v || '$@@@'
  WHEN 10 THEN '@@@[' || left(stamp, 5) || '13' || substr(stamp, 8) || '][수치][' || id || ']|x|$' || v || '$@@@'
  WHEN 11 THEN head || '수치][' || id || ']|' || event_type || '|@@@'
@@ -67,6 +67,8 @@ ELSE CASE event_id % 40
  WHEN 17 THEN head || '시간][' || id || ']|' || event_type || ' $735$|@@@'
  WHEN 18 THEN head || '시간][' || id || ']|' || event_type || ' $24:00$|@@@'
  WHEN 19 THEN head || '존재][' || id || ']|' || event_type || '|$' || v || '$@@@'
+END"""
+ODD = """CASE event_id % 40
  WHEN 20 THEN '@@@[' || left(stamp, 5) || '02/30' || substr(stamp, 11) || '][정보][' || id || ']|x|@@@'
  WHEN 21 THEN '@@@[' || left(stamp, 5) || '04/31' || substr(stamp, 11) || '][문구][' || id || ']|x|@@@'
  WHEN 22 THEN '@@@[' || left(stamp, 11) || '24:00:00.000][날짜][' || id || ']|x|@@@'
@@ -79,16 +81,24 @@ ELSE CASE event_id % 40
  WHEN 29 THEN head || '수치][' || id || ']|$' || v || '$2$|@@@'
  WHEN 30 THEN head || '정보][' || id || ']||@@@'
  WHEN 31 THEN head || '수치][' || id || ']|x|$' || repeat('9', 40) || '$@@@'
- ELSE CASE event_id % 7
-  WHEN 0 THEN head || '문구][' || id || ']|' || event_type || ' ' || user_id || '|@@@'
-  WHEN 1 THEN head || '정보][' || id || ']|' || event_type || ' [ ON ]|@@@'
-  WHEN 2 THEN head || '날짜][' || id || ']|day=' || stamp || '|@@@'
-  WHEN 3 THEN head || '수치][' || id || ']|' || event_type || '|$' || v || '$@@@'
-  WHEN 4 THEN head || '존재][' || id || ']|' || event_type || '| @@@'
-  WHEN 5 THEN head || '비교][' || id || ']|in$' || v || '$ out$' || user_id || '$|@@@'
-  ELSE head || '시간][' || id || ']|' || event_type || '|$' || hhmm || '$@@@' END
- END END
-"""
+END"""
+GOOD = """CASE event_id % 7
+ WHEN 0 THEN head || '문구][' || id || ']|' || event_type || ' ' || user_id || '|@@@'
+ WHEN 1 THEN head || '정보][' || id || ']|' || event_type || ' [ ON ]|@@@'
+ WHEN 2 THEN head || '날짜][' || id || ']|day=' || stamp || '|@@@'
+ WHEN 3 THEN head || '수치][' || id || ']|' || event_type || '|$' || v || '$@@@'
+ WHEN 4 THEN head || '존재][' || id || ']|' || event_type || '| @@@'
+ WHEN 5 THEN head || '비교][' || id || ']|in$' || v || '$ out$' || user_id || '$|@@@'
+ ELSE head || '시간][' || id || ']|' || event_type || '|$' || hhmm || '$@@@'
+END"""
+PLAIN = "'[' || stamp || '] INFO  ' || event_type || ' ' || user_id"
+STEPS = {
+    "layout": LAYOUT_FAULTS, "other": OTHER_FAULTS, "odd": ODD, "good": GOOD, "plain": PLAIN,
+}
+LINE = (
+    "CASE WHEN event_id % 11 = 0 THEN {plain} "
+    "ELSE coalesce({layout}, {other}, {odd}, {good}) END"
+)
 
 # Timestamps with every field driven over its edge now and then.
 STAMP_TEXT = (
@@ -180,17 +190,22 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "tab": "{tab}", **LINE_PARTS,
         },
     )
-    # Finished as one struct, so that filters on the line do not repeat its making.
+    # Finished in steps: filters on the line do not repeat its making, and no method of the
+    # generated code grows beyond what the JVM compiles.
+    for name, text in STEPS.items():
+        parts = parts.selectExpr("*", f"inline(array(struct({text} AS {name})))")
     return parts.selectExpr(
         "event_id",
         f"inline(array(struct({SERVER} AS server_id, {FILE} AS source_file_path, "
-        f"event_id + 1 AS line_number, {LINE} AS line)))",
+        f"event_id + 1 AS line_number, {LINE.format(**{n: n for n in STEPS})} AS line)))",
     )
 
 
 EVENT_LINES_SQL = (
     f"SELECT event_id, {SERVER} AS server_id, {FILE} AS source_file_path, "
-    f"event_id + 1 AS line_number, {LINE} AS line, user_id, event_type FROM ("
+    f"event_id + 1 AS line_number, "
+    + LINE.format(**STEPS)
+    + " AS line, user_id, event_type FROM ("
     + _duckdb_select(
         {
             "event_id": "event_id", "event_type": "event_type", "user_id": "user_id",

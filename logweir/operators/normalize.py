@@ -1,16 +1,16 @@
 """Log lines to typed records and rejects.
 
 A pure projection: no shuffle, no Python, one stage of generated code. Each part of a line is a
-column of its own. The cut line and the finished record each leave through an `inline` of one
-struct, for two reasons. A filter on the outcome then reads finished columns; the optimizer would
-otherwise copy the whole parse into that filter and run it twice. And the generated code falls
-into methods well below 8,000 bytes of bytecode, beyond which the JVM only interprets it.
+column of its own. The cut line and the record are finished (see `functions.rows`), so that a
+filter on the outcome does not run the whole parse a second time, and so that no generated method
+reaches the 8,000 bytes of bytecode beyond which the JVM only interprets it.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir import model as m
+from logweir.functions.rows import finish
 from logweir.functions.text import (
     clean_content,
     edge_trim,
@@ -68,7 +68,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
             F.split(F.get(head, 3), r"\|", -1).alias("_parts"),
         )
     )
-    cut = _finish(
+    cut = finish(
         cut, carried,
         *map(F.col, ("_marks", "_body", "_header_ok", "_stamp_text", "log_type", "log_id")),
         F.get(parts, 0).alias("_lead"),
@@ -129,7 +129,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         )
         .when(n_tokens > 0, 19)
     )
-    records = _finish(
+    records = finish(
         typed, carried,
         log_type, log_id, stamp,
         F.when(log_type == m.NUMERIC, clean_content(content)).otherwise(content)
@@ -169,11 +169,6 @@ def normalize(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted(parsed), rejected(parsed)
 
 
-def _finish(df: DataFrame, carried: list[str], *columns: Column) -> DataFrame:
-    """Select `columns` as finished values that no later filter looks through."""
-    return df.select(*carried, F.inline(F.array(F.struct(*columns))))
-
-
 def _detail() -> Column:
     """Reason in words, with the part of the line it is about."""
     fault = F.col("_fault")

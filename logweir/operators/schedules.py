@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir import model as m
+from logweir.functions.rows import finish
 from logweir.functions.text import edge_trim
 from logweir.functions.times import seconds_of_day, weekday_digit
 
@@ -22,66 +23,62 @@ def parse_schedules(lines: DataFrame) -> DataFrame:
     Other columns of `lines` are kept. Lines that are no valid schedule give no row.
     """
     carried = [c for c in lines.columns if c != "line"]
-    text = edge_trim(F.col("line"))
     brackets = F.col("_brackets")
-    cut = (
-        lines.select(*carried, text.alias("_text"))
-        .where((F.col("_text") != "") & ~F.startswith(F.col("_text"), F.lit("#")))
-        .select(
-            *carried,
-            F.regexp_extract_all("_text", F.lit(r"\[([^\]]*)\]"), F.lit(1)).alias("_brackets"),
-        )
+    texts = finish(lines, carried, edge_trim(F.col("line")).alias("_text"))
+    cut = texts.where((F.col("_text") != "") & ~F.startswith("_text", F.lit("#"))).select(
+        *carried,
+        F.regexp_extract_all("_text", F.lit(r"\[([^\]]*)\]"), F.lit(1)).alias("_brackets"),
     )
-    fields = [edge_trim(F.get(brackets, i)).alias(c) for i, c in enumerate(SCHEDULE_COLUMNS)]
-    complete = F.size(brackets) == 4
-    for field in fields:
-        complete = complete & (field != "")
-    rows = cut.where(complete).select(*carried, *fields)
-    return with_rules(rows)
+    fields = finish(
+        cut, carried, F.size(brackets).alias("_n"),
+        *[edge_trim(F.get(brackets, i)).alias(c) for i, c in enumerate(SCHEDULE_COLUMNS)],
+    )
+    complete = F.col("_n") == 4
+    for column in SCHEDULE_COLUMNS:
+        complete = complete & (F.col(column) != "")
+    return with_rules(fields.where(complete).drop("_n"))
 
 
 def with_rules(schedules: DataFrame) -> DataFrame:
     """Add the rule columns to rows with a `schedule_expression`; drop rows without a valid one."""
     carried = schedules.columns
-    parts = F.transform(F.split("schedule_expression", r"\|", -1), edge_trim)
-
-    def part(i: int) -> Column:
-        return F.get(F.col("_parts"), i)
-
-    days, start, every, end = part(1), part(2), part(3), part(4)
-    batch, periodic = part(0) == m.BATCH, part(0) == m.PERIODIC
-    day_from = F.when(days == "*", 0).otherwise(F.left(days, F.lit(1)).try_cast("int"))
-    day_to = F.when(days == "*", 6).otherwise(F.right(days, F.lit(1)).try_cast("int"))
-    minutes = F.when(every.rlike(_COUNT), every.try_cast("int"))
+    parts, days, start, every, end = (
+        F.col(c) for c in ("_parts", "_days", "_start", "_every", "_end")
+    )
+    split = schedules.withColumn("_parts", F.split("schedule_expression", r"\|", -1))
+    cut = finish(
+        split, carried, F.size(parts).alias("_n"),
+        *[
+            edge_trim(F.get(parts, i)).alias(c)
+            for i, c in enumerate(("schedule_type", "_days", "_start", "_every", "_end"))
+        ],
+    )
+    batch, periodic = (F.col("schedule_type") == t for t in (m.BATCH, m.PERIODIC))
+    rules = finish(
+        cut, [*carried, "schedule_type"],
+        F.when(days == "*", 0).otherwise(F.left(days, F.lit(1)).try_cast("int"))
+        .alias("day_from"),
+        F.when(days == "*", 6).otherwise(F.right(days, F.lit(1)).try_cast("int"))
+        .alias("day_to"),
+        seconds_of_day(start).alias("start_sec"),
+        F.when(periodic & every.rlike(_COUNT), every.try_cast("int")).alias("interval_min"),
+        F.when(periodic, seconds_of_day(end)).alias("end_sec"),
+        (
+            days.rlike(_DAYS)
+            & start.rlike(_HHMMSS)
+            & (
+                (batch & (F.col("_n") == 3))
+                | (periodic & (F.col("_n") == 5) & end.rlike(_HHMMSS))
+            )
+        ).alias("_well_formed"),
+    )
     valid = (
-        days.rlike(_DAYS)
+        F.col("_well_formed")
         & (F.col("day_from") <= F.col("day_to"))
-        & start.rlike(_HHMMSS)
         & (F.col("start_sec") >= 1)
-        & (
-            (batch & (F.size("_parts") == 3))
-            | (
-                periodic
-                & (F.size("_parts") == 5)
-                & (F.col("interval_min") > 0)
-                & end.rlike(_HHMMSS)
-            )
-        )
-    )
-    return (
-        schedules.withColumn("_parts", parts)
-        .select(
-            *carried, "_parts",
-            part(0).alias("schedule_type"),
-            day_from.alias("day_from"),
-            day_to.alias("day_to"),
-            seconds_of_day(start).alias("start_sec"),
-            F.when(periodic, minutes).alias("interval_min"),
-            F.when(periodic, seconds_of_day(end)).alias("end_sec"),
-        )
-        .where(valid)
-        .select(*carried, *RULE_COLUMNS)
+        & (batch | (F.col("interval_min") > 0))
     )
+    return rules.where(valid).select(*carried, *RULE_COLUMNS)
 
 
 def schedule_key() -> Column:
