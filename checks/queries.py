@@ -16,7 +16,7 @@ from logweir.operators.lookup import find_logs
 from logweir.operators.normalize import accepted, parse_lines, rejected
 from logweir.operators.numbering import block_offsets, number_lines, numbered
 from logweir.operators.schedules import due_runs, parse_schedules, run_calendar
-from logweir.plans.collect import collect_run, prepare_runs
+from logweir.plans.collect import closing_events, collect_run, prepare_runs
 from logweir.sources.lines import BLOCK_COLUMNS, file_sizes, scan_landed
 from logweir.sources.staging import new_folder, stage, stage_numbered
 
@@ -271,7 +271,6 @@ def _collected(spark, sf_dir):
         inputs.history(spark, sf_dir),
         inputs.exclude(spark, sf_dir),
         RUN_TS,
-        RUN_ID,
         init_limit=INIT_LIMIT,
         part_limit=PART_LIMIT,
     )
@@ -305,7 +304,8 @@ def run_summary(spark, sf_dir):
 
 def history_close(spark, sf_dir):
     """History as it stands after the job: its closing events folded."""
-    events = _collected(spark, sf_dir).events.drop("collect_history_id", "last_log_id")
+    events = closing_events(_collected(spark, sf_dir).outcomes, RUN_TS, RUN_TS)
+    events = events.drop("collect_history_id", "issued_ids")
     keyed = events.withColumnRenamed("run_key", "collect_history_id")
     return hist.fold_history(keyed).select(
         F.col("collect_history_id").alias("run_key"), "collect_status", "fail_reason",
@@ -315,7 +315,8 @@ def history_close(spark, sf_dir):
 
 
 def exclude_register(spark, sf_dir):
-    return _collected(spark, sf_dir).exclusions.select(
+    outcomes = _collected(spark, sf_dir).outcomes
+    return ex.exclusion_rows(outcomes, F.lit(RUN_TS).cast("timestamp_ntz")).select(
         *FILE_COLUMNS, "server_ip", "exclude_reason", "exclude_file_size", "exclude_detail",
         "restore_yn", "exclude_date", "created_at",
     )

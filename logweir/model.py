@@ -101,7 +101,7 @@ COLLECT_HISTORY = (
 # History is kept as events that are folded into one row per run when read.
 HISTORY_EVENTS = (
     COLLECT_HISTORY
-    + ", path_template string, run_key string, last_log_id bigint, seq int, "
+    + ", path_template string, run_key string, issued_ids bigint, seq int, "
     "run_id string, stage string"
 )
 

@@ -18,8 +18,8 @@ def active_exclusions(exclude: DataFrame) -> DataFrame:
 
 
 def not_excluded(runs: DataFrame, exclude: DataFrame) -> DataFrame:
-    active = exclude.where(F.col("restore_yn") == m.NO).select(*FILE_COLUMNS)
-    return runs.join(active, FILE_COLUMNS, "left_anti")
+    """Runs whose file is free; exclusions are counted per file before they meet the runs."""
+    return runs.join(active_exclusions(exclude), FILE_COLUMNS, "left_anti")
 
 
 def exclusion_rows(outcomes: DataFrame, run_ts: Column) -> DataFrame:

@@ -29,18 +29,16 @@ from logweir.operators.runs import (
 )
 from logweir.operators.schedules import schedule_key
 from logweir.sources.lines import BLOCK_COLUMNS, file_sizes, scan_landed
-from logweir.sources.staging import stage, stage_numbered
+from logweir.sources.staging import job_folder, stage, stage_numbered
 from logweir.sources.store import CLOSE, OPEN, create_store, read_table, write_table
 
 
 class Collected(NamedTuple):
-    """Results of a job; ready to be written, nothing is committed yet."""
+    """What a job found; nothing is committed yet."""
 
     outcomes: DataFrame
     logs: DataFrame
     rejects: DataFrame
-    exclusions: DataFrame
-    events: DataFrame
 
 
 def prepare_runs(due: DataFrame, run_ts: dt.datetime, run_id: str) -> DataFrame:
@@ -70,19 +68,16 @@ def collect_run(
     history: DataFrame,
     exclude: DataFrame,
     run_ts: dt.datetime,
-    run_id: str,
-    ended_at: dt.datetime | None = None,
-    attempt: int = 0,
-    last_log_id: int = 0,
-    last_exclude_id: int = 0,
+    ids_issued: int = 0,
     init_limit: int = m.INIT_LIMIT_BYTES,
     part_limit: int = m.PART_LIMIT_BYTES,
 ) -> Collected:
-    """Collect the files of `runs`, which carry `collect_history_id`.
+    """Collect the files of `runs`.
 
     `read_lines(facts)` gives `server_id, source_file_path, line_number, line_bytes, line` for
     the files whose status in `facts` is READING. It is read twice, for the totals and for the
-    records, and should come from something written.
+    records, and should come from something written. `history` may hold more rows than needed:
+    successful runs are picked out.
     """
     stamp = F.lit(run_ts).cast("timestamp_ntz")
     collect_date = f"{run_ts:%Y%m%d}"
@@ -90,38 +85,33 @@ def collect_run(
         settle_runs(runs, sizes, history, exclude, collect_date, init_limit), "facts"
     )
     tail = tail_lines(read_lines(facts), facts)
-    outcomes = stage(
-        run_outcomes(facts, stage(read_totals(tail), "totals"), part_limit), "outcomes"
+    totals = stage(read_totals(tail), "totals")
+    outcomes = stage(run_outcomes(facts, totals, part_limit), "outcomes")
+    good = outcomes.where(F.col("collect_status") == m.SUCCESS).select(
+        "run_key", "server_ip", "schedule_type", "run_id"
     )
-    done = outcomes.where(F.col("collect_status") == m.SUCCESS)
-    good = done.select("run_key", "server_ip", "schedule_type", "run_id")
     tail = tail.select("run_key", *FILE_COLUMNS, "line_number", "line").join(good, "run_key")
-    parsed = stage_numbered(parse_lines(tail), "parsed", "collect_log_id", last_log_id)
+    parsed = stage_numbered(parse_lines(tail), "parsed", "collect_log_id", ids_issued)
     counts = stage(record_totals(parsed), "counts")
-    outcomes = with_record_totals(outcomes, counts)
-    logs = accepted(parsed).withColumns(
-        {
-            "collect_date": F.lit(collect_date),
-            "collect_datetime": stamp,
-            "created_at": stamp,
-        }
-    )
-    rejects = rejected(parsed).withColumn("collect_date", F.lit(collect_date))
-    exclusions = stage_numbered(
-        exclusion_rows(outcomes, stamp).withColumn("run_id", F.lit(run_id)),
-        "exclusions", "collect_exclude_id", last_exclude_id,
-    )
-    end = F.lit(ended_at or run_ts).cast("timestamp_ntz")
+    dated = parsed.withColumn("collect_date", F.lit(collect_date))
     return Collected(
-        outcomes, logs, rejects, exclusions, _closing_events(outcomes, parsed, stamp, end, attempt)
+        with_record_totals(outcomes, counts),
+        accepted(dated).withColumns({"collect_datetime": stamp, "created_at": stamp}),
+        rejected(dated),
     )
 
 
-def _closing_events(outcomes, parsed, stamp, end, attempt: int) -> DataFrame:
-    """History updates of a run in their order: attempt, size of an excluded file, outcome."""
+def closing_events(
+    outcomes: DataFrame, run_ts: dt.datetime, ended_at: dt.datetime, attempt: int = 0
+) -> DataFrame:
+    """History updates of a run in their order: attempt, size of an excluded file, outcome.
+
+    The last one repeats what `last_lines` needs, so that the next job reads it on its own.
+    """
+    stamp, end = (F.lit(t).cast("timestamp_ntz") for t in (run_ts, ended_at))
     base = [
         "collect_history_id", "run_key", "run_id",
-        F.date_format(stamp, "yyyyMMdd").alias("collect_date"),
+        F.lit(f"{run_ts:%Y%m%d}").alias("collect_date"),
         F.lit(CLOSE).alias("stage"),
     ]
     done = F.col("collect_status") == m.SUCCESS
@@ -133,13 +123,12 @@ def _closing_events(outcomes, parsed, stamp, end, attempt: int) -> DataFrame:
     sizes = outcomes.where(over_limit).select(
         *base, "file_size_bytes", end.alias("updated_at"), F.lit(2).alias("seq")
     )
-    last_log_id = parsed.agg(F.max("collect_log_id")).first()[0]
     ends = outcomes.select(
-        *base, "collect_status", "fail_reason", "last_line_number",
+        *base, *FILE_COLUMNS, "collect_status", "fail_reason", "last_line_number",
         F.when(done, F.col("collected_count")).alias("collected_count"),
         F.when(done, F.col("file_size_bytes")).alias("file_size_bytes"),
-        end.alias("collect_end_at"), end.alias("updated_at"),
-        F.lit(last_log_id).cast("bigint").alias("last_log_id"),
+        stamp.alias("collect_start_at"), end.alias("collect_end_at"), end.alias("updated_at"),
+        (F.col("collected_count") + F.col("reject_count")).alias("issued_ids"),
         F.lit(3).alias("seq"),
     )
     return attempts.unionByName(sizes, allowMissingColumns=True).unionByName(
@@ -157,6 +146,7 @@ def run_job(
     run_id: str | None = None,
     clock: Callable[[], dt.datetime] = dt.datetime.now,
     keeps_position: bool | None = None,
+    attempt: int = 0,
     **options,
 ) -> None:
     """Collect the due runs and write the results to the store.
@@ -167,29 +157,37 @@ def run_job(
     """
     run_id = run_id or f"{run_ts:%Y%m%dT%H%M%S}"
     create_store(spark, store)
-    events = read_table(spark, store, "history_events")
-    own = F.col("run_id") == run_id
-    closed = events.where(own & (F.col("stage") == CLOSE)).select("run_key")
-    top = events.agg(F.max("collect_history_id"), F.max("last_log_id")).first()
-    runs = prepare_runs(due, run_ts, run_id).join(closed, "run_key", "left_anti")
-    if keeps_position is not None:
-        runs = runs.withColumn("keeps_position", F.lit(keeps_position))
-    runs = stage_numbered(runs, "runs", "collect_history_id", top[0] or 0)
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
-    opening = opening_events(runs.withColumn("stage", F.lit(OPEN)), stamp)
-    # Partitions of this job are about to be replaced and must not be read any more.
-    history = fold_history(events.where(~own).drop("run_id", "stage", "last_log_id"))
-    exclude = read_table(spark, store, "collect_exclude").where(~own)
-    last_exclude_id = exclude.agg(F.max("collect_exclude_id")).first()[0] or 0
-    write_table(opening, store, "history_events")
-    found = collect_run(
-        runs, sizes, read_lines, history, exclude, run_ts, run_id,
-        last_log_id=top[1] or 0, last_exclude_id=last_exclude_id, ended_at=clock(), **options,
-    )
-    write_table(found.logs, store, "collect_log")
-    write_table(found.rejects, store, "collect_reject")
-    write_table(found.exclusions, store, "collect_exclude")
-    write_table(found.events, store, "history_events")
+    with job_folder(spark):
+        events = read_table(spark, store, "history_events")
+        own = F.col("run_id") == run_id
+        closed = events.where(own & (F.col("stage") == CLOSE)).select("run_key")
+        top = events.agg(F.max("collect_history_id"), F.sum("issued_ids")).first()
+        runs = prepare_runs(due, run_ts, run_id).join(closed, "run_key", "left_anti")
+        if keeps_position is not None:
+            runs = runs.withColumn("keeps_position", F.lit(keeps_position))
+        runs = stage_numbered(runs, "runs", "collect_history_id", top[0] or 0)
+        # Partitions of this job are about to be replaced and must not be read any more.
+        done = events.where(~own & (F.col("collect_status") == m.SUCCESS))
+        if runs.where("keeps_position").isEmpty():
+            done = done.where(F.col("collect_date") == f"{run_ts:%Y%m%d}")
+        exclude = read_table(spark, store, "collect_exclude").where(~own)
+        last_exclude_id = exclude.agg(F.max("collect_exclude_id")).first()[0] or 0
+
+        stamp = F.lit(run_ts).cast("timestamp_ntz")
+        opening = opening_events(runs.withColumn("stage", F.lit(OPEN)), stamp)
+        write_table(opening, store, "history_events")
+        found = collect_run(
+            runs, sizes, read_lines, done, exclude, run_ts, ids_issued=top[1] or 0, **options
+        )
+        exclusions = stage_numbered(
+            exclusion_rows(found.outcomes, stamp).withColumn("run_id", F.lit(run_id)),
+            "exclusions", "collect_exclude_id", last_exclude_id,
+        )
+        write_table(found.logs, store, "collect_log")
+        write_table(found.rejects, store, "collect_reject")
+        write_table(exclusions, store, "collect_exclude")
+        closing = closing_events(found.outcomes, run_ts, clock(), attempt)
+        write_table(closing, store, "history_events")
 
 
 def collect_landed(
@@ -208,4 +206,4 @@ def collect_landed(
 def collect_history(spark: SparkSession, store: str) -> DataFrame:
     """One row per run, as the last event left it."""
     events = read_table(spark, store, "history_events")
-    return fold_history(events.drop("run_id", "stage", "last_log_id"))
+    return fold_history(events.drop("run_id", "stage", "issued_ids"))

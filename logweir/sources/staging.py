@@ -5,13 +5,17 @@ from its start. It also has an exact size: whether a join with it is broadcast i
 own decision against `spark.sql.autoBroadcastJoinThreshold`, with a shuffled join beyond it.
 """
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_job: contextvars.ContextVar[str | None] = contextvars.ContextVar("job", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,7 +30,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/logweir/{name}-{uuid.uuid4().hex}"
+    parent = _job.get() or f"{shared_folder(spark)}/logweir"
+    return f"{parent}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def job_folder(spark: SparkSession):
+    """Keep what is staged inside the block in one folder, and delete it when the block ends."""
+    folder = new_folder(spark, "job")
+    token = _job.set(folder)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -59,7 +77,5 @@ def stage_numbered(df: DataFrame, name: str, column: str, after: int = 0) -> Dat
 
 def _running_total(counts: DataFrame, order: str, count: str, total: str) -> DataFrame:
     """Sum of `count` over the rows that come earlier; one row per written file comes in."""
-    from pyspark.sql import Window as W
-
     earlier = W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     return counts.select(order, F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(total))
