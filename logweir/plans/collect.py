@@ -85,17 +85,15 @@ def collect_run(
         settle_runs(runs, sizes, history, exclude, collect_date, init_limit), "facts"
     )
     tail = tail_lines(read_lines(facts), facts)
-    totals = stage(read_totals(tail), "totals")
-    outcomes = stage(run_outcomes(facts, totals, part_limit), "outcomes")
+    outcomes = stage(run_outcomes(facts, read_totals(tail), part_limit), "outcomes")
     good = outcomes.where(F.col("collect_status") == m.SUCCESS).select(
         "run_key", "server_ip", "schedule_type", "run_id"
     )
     tail = tail.select("run_key", *FILE_COLUMNS, "line_number", "line").join(good, "run_key")
     parsed = stage_numbered(parse_lines(tail), "parsed", "collect_log_id", ids_issued)
-    counts = stage(record_totals(parsed), "counts")
     dated = parsed.withColumn("collect_date", F.lit(collect_date))
     return Collected(
-        with_record_totals(outcomes, counts),
+        with_record_totals(outcomes, record_totals(parsed)),
         accepted(dated).withColumns({"collect_datetime": stamp, "created_at": stamp}),
         rejected(dated),
     )
@@ -165,7 +163,7 @@ def run_job(
         runs = prepare_runs(due, run_ts, run_id).join(closed, "run_key", "left_anti")
         if keeps_position is not None:
             runs = runs.withColumn("keeps_position", F.lit(keeps_position))
-        runs = stage_numbered(runs, "runs", "collect_history_id", top[0] or 0)
+        runs = stage_numbered(runs, "runs", "collect_history_id", top[0] or 0, small=True)
         # Partitions of this job are about to be replaced and must not be read any more.
         done = events.where(~own & (F.col("collect_status") == m.SUCCESS))
         if runs.where("keeps_position").isEmpty():
@@ -181,7 +179,7 @@ def run_job(
         )
         exclusions = stage_numbered(
             exclusion_rows(found.outcomes, stamp).withColumn("run_id", F.lit(run_id)),
-            "exclusions", "collect_exclude_id", last_exclude_id,
+            "exclusions", "collect_exclude_id", last_exclude_id, small=True,
         )
         write_table(found.logs, store, "collect_log")
         write_table(found.rejects, store, "collect_reject")

@@ -47,6 +47,11 @@ def job_folder(spark: SparkSession):
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` and give it back as a table read from what was written."""
     spark = df.sparkSession
@@ -55,12 +60,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def stage_numbered(df: DataFrame, name: str, column: str, after: int = 0) -> DataFrame:
+def stage_numbered(
+    df: DataFrame, name: str, column: str, after: int = 0, small: bool = False
+) -> DataFrame:
     """Stage `df` with a unique BIGINT, `after + 1` and up without gaps, in place of a sequence.
 
     A row's number is its place in its written file plus the rows of the files before, both
     fixed on disk: every read of the staged table gives the same numbers. The only rows that
-    are shuffled are the per-file counts.
+    are shuffled are the per-file counts. They are staged as well, to be joined by their true
+    size, unless the table is called `small`.
     """
     staged = stage(df, name)
     rows = staged.select(
@@ -69,7 +77,9 @@ def stage_numbered(df: DataFrame, name: str, column: str, after: int = 0) -> Dat
         F.col("_metadata.row_index").alias("_place"),
     )
     counts = rows.groupBy("_file").count()
-    before = stage(_running_total(counts, "_file", "count", "_before"), name + "-files")
+    before = _running_total(counts, "_file", "count", "_before")
+    if not small:
+        before = stage(before, name + "-files")
     return rows.join(before, "_file").select(
         (F.lit(after) + F.col("_before") + F.col("_place") + 1).alias(column), *df.columns
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir import model as m
+from logweir.sources.staging import exists
 
 CLOSE = "close"
 OPEN = "open"
@@ -23,7 +24,8 @@ TABLES = {
 def create_store(spark: SparkSession, root: str) -> None:
     """Make the folders of tables that do not exist yet."""
     for name, (schema, _) in TABLES.items():
-        spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/{name}")
+        if not exists(spark, f"{root}/{name}"):
+            spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/{name}")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
