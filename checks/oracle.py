@@ -354,6 +354,14 @@ ORACLE = {
     "collect_end_to_end": f"WITH {JOB} SELECT {KEY}, {LOG}, server_ip, schedule_type, "
     f"'{COLLECT_DATE}' AS collect_date, TIMESTAMP '2024-01-20 10:00:00' AS collect_datetime "
     "FROM parsed WHERE fault IS NULL",
+    "collect_log_ids": f"""WITH {JOB},
+ranges AS (
+  SELECT run_key, start_line, coalesce(sum(CASE WHEN fail_reason = '' THEN last_line - start_line + 1
+      ELSE 0 END) OVER (ORDER BY run_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS before
+  FROM ended)
+SELECT {KEY}, (before + line_number - start_line + 1)::bigint AS collect_log_id
+FROM parsed JOIN ranges USING (run_key) WHERE fault IS NULL""",
     "collect_rejects": f"WITH {JOB} SELECT run_key, {KEY}, reason_code, "
     f"'{COLLECT_DATE}' AS collect_date FROM parsed WHERE fault IS NOT NULL",
     "run_status": f"WITH {OUTCOMES} SELECT run_key, server_id, source_file_path, schedule_type, "

@@ -92,11 +92,12 @@ def time_minutes(spark, sf_dir):
 
 def content_cleanup(spark, sf_dir):
     """Cleaned content of every event and document line, record or not."""
-    from logweir.functions.text import clean_content
+    from logweir.functions.text import bare_content, single_spaced
 
     events = inputs.event_lines(spark, sf_dir).select(*KEY, "line")
     lines = events.unionByName(inputs.document_lines(spark, sf_dir).select(*KEY, "line"))
-    return lines.select(*KEY, clean_content(F.col("line")).alias("content"))
+    bare = lines.select(*KEY, bare_content(F.col("line")).alias("bare"))
+    return bare.select(*KEY, single_spaced(F.col("bare")).alias("content"))
 
 
 def timestamp_smart_parse(spark, sf_dir):
@@ -282,6 +283,11 @@ def collect_end_to_end(spark, sf_dir):
     )
 
 
+def collect_log_ids(spark, sf_dir):
+    """Ids of the records, given out by run and line."""
+    return _collected(spark, sf_dir).logs.select(*KEY, "collect_log_id")
+
+
 def collect_rejects(spark, sf_dir):
     return _collected(spark, sf_dir).rejects.select("run_key", *KEY, "reason_code", "collect_date")
 
@@ -367,7 +373,7 @@ QUERIES = {
         timestamp_smart_parse, line_number_explode, line_number_blocks, line_scan,
         path_resolve, last_line_top1, last_line_date_reset, history_open, history_fold,
         exclude_anti_join, exclude_count, incremental_tail, tail_bytes_guard,
-        collect_end_to_end, collect_rejects, run_status, run_summary, history_close,
+        collect_end_to_end, collect_log_ids, collect_rejects, run_status, run_summary, history_close,
         exclude_register, analyze_lookup, analyze_lookup_id, schedule_parse,
         schedule_calendar, due_at,
     )

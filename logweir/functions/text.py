@@ -33,10 +33,14 @@ def token_text(token: Column) -> Column:
     return edge_trim(F.btrim(token, F.lit("$")))
 
 
-def clean_content(content: Column) -> Column:
-    """Content without its tokens; runs of two or more white spaces become one blank."""
-    bare = edge_trim(without_tokens(content))
-    return F.when(bare.rlike(r"\s\s"), F.regexp_replace(bare, r"\s{2,}", " ")).otherwise(bare)
+def bare_content(content: Column) -> Column:
+    """Content without its tokens and edges."""
+    return edge_trim(without_tokens(content))
+
+
+def single_spaced(text: Column) -> Column:
+    """Every run of two or more white spaces becomes one blank; a lone tab stays."""
+    return F.when(text.rlike(r"\s\s"), F.regexp_replace(text, r"\s{2,}", " ")).otherwise(text)
 
 
 def decoded(value: Column, encoding: str = "UTF-8") -> Column:

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from logweir import model as m
 from logweir.functions.rows import finish
 from logweir.functions.text import (
-    clean_content,
+    bare_content,
     edge_trim,
+    single_spaced,
     token_text,
     value_tokens,
     without_tokens,
@@ -93,6 +94,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
             "log_value_text", F.when(log_type.isin(m.NUMERIC, m.TIME), token_text(first))
         )
         .withColumn("_minutes", F.when(log_type == m.TIME, minutes_of_day(value_text)))
+        .withColumn("_bare", F.when(log_type == m.NUMERIC, bare_content(content)))
     )
 
     colon = F.lit(":")
@@ -132,8 +134,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     records = finish(
         typed, carried,
         log_type, log_id, stamp,
-        F.when(log_type == m.NUMERIC, clean_content(content)).otherwise(content)
-        .alias("log_content"),
+        F.coalesce(single_spaced(F.col("_bare")), content).alias("log_content"),
         F.when(log_type == m.NUMERIC, number(value_text)).otherwise(minutes.cast(VALUE_TYPE))
         .alias("log_value"),
         value_text,

@@ -1,6 +1,7 @@
 """Facts about due runs: path, start line, what was read, outcome."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logweir import model as m
@@ -128,6 +129,22 @@ def run_outcomes(
     )
 
 
+def with_id_ranges(outcomes: DataFrame, after: int = 0) -> DataFrame:
+    """Give every successful run a range of log ids as long as the lines it read.
+
+    `first_id` goes to the run's first line, `issued_ids` is the length. Ids beyond `after` are
+    unique without any exchange of records, and the same when a job is run again. The window
+    runs over one row per due run.
+    """
+    earlier = W.orderBy("run_key").rowsBetween(W.unboundedPreceding, -1)
+    read = F.col("last_line_number") - F.col("start_line") + 1
+    issued = F.when(F.col("collect_status") == m.SUCCESS, read).otherwise(0)
+    return outcomes.withColumn("issued_ids", issued.cast("bigint")).withColumn(
+        "first_id",
+        F.lit(after).cast("bigint") + F.coalesce(F.sum("issued_ids").over(earlier), F.lit(0)) + 1,
+    )
+
+
 def record_totals(parsed: DataFrame) -> DataFrame:
     """Saved records and rejects per run."""
     return parsed.groupBy("run_key").agg(

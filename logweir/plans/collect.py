@@ -25,6 +25,7 @@ from logweir.operators.runs import (
     settle_runs,
     slim_lines,
     tail_lines,
+    with_id_ranges,
     with_record_totals,
 )
 from logweir.operators.schedules import schedule_key
@@ -85,12 +86,15 @@ def collect_run(
         settle_runs(runs, sizes, history, exclude, collect_date, init_limit), "facts"
     )
     tail = tail_lines(read_lines(facts), facts)
-    outcomes = stage(run_outcomes(facts, read_totals(tail), part_limit), "outcomes")
+    outcomes = run_outcomes(facts, read_totals(tail), part_limit)
+    outcomes = stage(with_id_ranges(outcomes, ids_issued), "outcomes")
     good = outcomes.where(F.col("collect_status") == m.SUCCESS).select(
-        "run_key", "server_ip", "schedule_type", "run_id"
+        "run_key", "server_ip", "schedule_type", "run_id",
+        (F.col("first_id") - F.col("start_line")).alias("_id_shift"),
     )
     tail = tail.select("run_key", *FILE_COLUMNS, "line_number", "line").join(good, "run_key")
-    parsed = stage_numbered(parse_lines(tail), "parsed", "collect_log_id", ids_issued)
+    tail = tail.withColumn("collect_log_id", F.col("line_number") + F.col("_id_shift"))
+    parsed = stage(parse_lines(tail.drop("_id_shift")), "parsed")
     dated = parsed.withColumn("collect_date", F.lit(collect_date))
     return Collected(
         with_record_totals(outcomes, record_totals(parsed)),
@@ -126,7 +130,7 @@ def closing_events(
         F.when(done, F.col("collected_count")).alias("collected_count"),
         F.when(done, F.col("file_size_bytes")).alias("file_size_bytes"),
         stamp.alias("collect_start_at"), end.alias("collect_end_at"), end.alias("updated_at"),
-        (F.col("collected_count") + F.col("reject_count")).alias("issued_ids"),
+        "issued_ids",
         F.lit(3).alias("seq"),
     )
     return attempts.unionByName(sizes, allowMissingColumns=True).unionByName(
