@@ -357,7 +357,8 @@ ORACLE = {
     "collect_log_ids": f"""WITH {JOB},
 ranges AS (
   SELECT run_key, start_line, coalesce(sum(CASE WHEN fail_reason = '' THEN last_line - start_line + 1
-      ELSE 0 END) OVER (ORDER BY run_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      ELSE 0 END) OVER (ORDER BY left(md5(run_key), 3), run_key
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     AS before
   FROM ended)
 SELECT {KEY}, (before + line_number - start_line + 1)::bigint AS collect_log_id

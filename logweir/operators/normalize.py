@@ -46,7 +46,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     first, n_tokens, value_text = (F.col(c) for c in ("_first", "_n_tokens", "log_value_text"))
     minutes = F.col("_minutes")
 
-    marks = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(m.MARK)))) / len(m.MARK)
+    mark = F.lit(m.MARK)
+    opened, end = F.col("_opened"), F.col("_end")
     header_ok = (
         F.get(head, 0).rlike(m.TIMESTAMP_PATTERN)
         & F.get(head, 1).rlike(r"(?s)\A\[.") & F.get(head, 2).rlike(r"(?s)\A\[.")
@@ -54,14 +55,17 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
     cut = (
         lines.where(marked(line))
+        # Marks are found one after the other: in a run of at signs they do not overlap.
+        .select(*carried, F.substr(line, F.position(mark, line) + len(m.MARK)).alias("_opened"))
+        .select(*carried, "_opened", F.position(mark, opened).alias("_end"))
         .select(
-            *carried,
-            marks.cast("int").alias("_marks"),
-            F.substring_index(F.substring_index(line, m.MARK, 2), m.MARK, -1).alias("_body"),
+            *carried, "_end",
+            F.left(opened, end - 1).alias("_body"),
+            F.contains(F.substr(opened, end + len(m.MARK)), mark).alias("_more"),
         )
-        .select(*carried, "_marks", "_body", F.split(body, r"\]", 4).alias("_head"))
+        .select(*carried, "_end", "_more", "_body", F.split(body, r"\]", 4).alias("_head"))
         .select(
-            *carried, "_marks", "_body",
+            *carried, "_end", "_more", "_body",
             F.coalesce(header_ok, F.lit(False)).alias("_header_ok"),
             F.substr(F.get(head, 0), F.lit(2)).alias("_stamp_text"),
             F.substr(F.get(head, 1), F.lit(2)).alias("log_type"),
@@ -71,7 +75,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
     cut = finish(
         cut, carried,
-        *map(F.col, ("_marks", "_body", "_header_ok", "_stamp_text", "log_type", "log_id")),
+        (end > 0).alias("_closed"),
+        *map(F.col, ("_more", "_body", "_header_ok", "_stamp_text", "log_type", "log_id")),
         F.get(parts, 0).alias("_lead"),
         F.size(parts).alias("_n_parts"),
         F.get(parts, 1).alias("_content"),
@@ -99,8 +104,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     colon = F.lit(":")
     layout_fault = (
-        F.when(F.col("_marks") < 2, 1)
-        .when(F.col("_marks") > 2, 2)
+        F.when(~F.col("_closed"), 1)
+        .when(F.col("_more"), 2)
         .when(~F.col("_header_ok"), 3)
         # Text before the first pipe, or no pipe and no text at all.
         .when((F.col("_lead") != "") | (F.col("_n_parts") == 1), 4)
@@ -139,16 +144,15 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         .alias("log_value"),
         value_text,
         F.coalesce(layout_fault, value_fault).alias("_fault"),
-        # Only looked at in rejects: the rest of what their detail is about.
-        F.col("_marks"), F.col("_n_tokens"), F.col("_first"), F.col("_body"),
+        F.col("_n_tokens"), F.col("_first"),
+        F.when(F.col("_closed") & ~F.col("_more"), F.concat(mark, body, mark)).alias("raw_log"),
     )
-    raw_log = F.when(F.col("_marks") == 2, F.concat(F.lit(m.MARK), body, F.lit(m.MARK)))
     return records.select(
         *carried,
         *[c for c in RECORD_COLUMNS if c not in ("value_overflow", "raw_log")],
         # A number that the decimal type cannot hold is kept as text.
         ((log_type == m.NUMERIC) & F.col("log_value").isNull()).alias("value_overflow"),
-        raw_log.alias("raw_log"),
+        "raw_log",
         F.concat(F.lit("R"), F.col("_fault").cast("string")).alias("reason_code"),
         _detail().alias("detail"),
     )

@@ -72,6 +72,13 @@ def settle_runs(
     )
 
 
+def lines_from(lines: DataFrame, start_line: int) -> DataFrame:
+    """Lines from a number on; numbers start at 1."""
+    if start_line < 1:
+        raise ValueError(f"lines are numbered from 1, not {start_line}")
+    return lines.where(F.col("line_number") >= start_line)
+
+
 def slim_lines(lines: DataFrame) -> DataFrame:
     """Add `line_bytes` and blank out plain lines, of which only number and length matter."""
     line = F.col("line")
@@ -133,15 +140,27 @@ def with_id_ranges(outcomes: DataFrame, after: int = 0) -> DataFrame:
     """Give every successful run a range of log ids as long as the lines it read.
 
     `first_id` goes to the run's first line, `issued_ids` is the length. Ids beyond `after` are
-    unique without any exchange of records, and the same when a job is run again. The window
-    runs over one row per due run.
+    unique without any exchange of records, and the same when a job is run again. Runs are
+    summed up in 4,096 buckets, and only the bucket totals, never more rows than that, are summed
+    up in one place and broadcast.
     """
-    earlier = W.orderBy("run_key").rowsBetween(W.unboundedPreceding, -1)
+    def before(window: W) -> Column:
+        earlier = window.rowsBetween(W.unboundedPreceding, -1)
+        return F.coalesce(F.sum("issued_ids").over(earlier), F.lit(0))
+
     read = F.col("last_line_number") - F.col("start_line") + 1
-    issued = F.when(F.col("collect_status") == m.SUCCESS, read).otherwise(0)
-    return outcomes.withColumn("issued_ids", issued.cast("bigint")).withColumn(
-        "first_id",
-        F.lit(after).cast("bigint") + F.coalesce(F.sum("issued_ids").over(earlier), F.lit(0)) + 1,
+    issued = F.when(F.col("collect_status") == m.SUCCESS, read).otherwise(0).cast("bigint")
+    runs = outcomes.withColumns(
+        {"issued_ids": issued, "_bucket": F.left(F.md5("run_key"), F.lit(3))}
+    )
+    buckets = runs.groupBy("_bucket").agg(F.sum("issued_ids").alias("issued_ids"))
+    buckets = buckets.select("_bucket", before(W.orderBy("_bucket")).alias("_bucket_start"))
+    in_bucket = before(W.partitionBy("_bucket").orderBy("run_key"))
+    first = F.col("_bucket_start") + in_bucket + F.lit(after + 1)
+    return (
+        runs.join(F.broadcast(buckets), "_bucket")
+        .withColumn("first_id", first.cast("bigint"))
+        .drop("_bucket", "_bucket_start")
     )
 
 
