@@ -56,8 +56,7 @@ def numbered_landed(spark: SparkSession, root: str, facts: DataFrame) -> DataFra
     """Numbered lines of the landed files that a run in `facts` reads; the others stay shut."""
     reading = facts.where(F.col("collect_status") == m.READING)
     reading = reading.select(*FILE_COLUMNS).distinct()
-    scanned = scan_landed(spark, root).join(reading, FILE_COLUMNS, "left_semi")
-    lines = stage(slim_lines(scanned), "lines")
+    lines = stage(slim_lines(scan_landed(spark, root, reading)), "lines")
     offsets = stage(block_offsets(lines, FILE_COLUMNS, BLOCK_COLUMNS), "blocks")
     return number_lines(lines, offsets, FILE_COLUMNS, BLOCK_COLUMNS)
 

@@ -24,12 +24,27 @@ LISTING = (
 )
 
 
-def scan_landed(spark: SparkSession, root: str, encoding: str = "UTF-8") -> DataFrame:
-    """Lines of all landed files, each with its block and its place in the scan.
+# Lists of files up to this size (server ids and paths in bytes) are broadcast to the scan.
+FILE_LIST_BYTES = 64 * 1024 * 1024
 
-    `operators.numbering` turns blocks and places into line numbers.
+
+def scan_landed(
+    spark: SparkSession, root: str, files: DataFrame | None = None, encoding: str = "UTF-8"
+) -> DataFrame:
+    """Lines of the landed files, each with its block and its place in the scan.
+
+    `operators.numbering` turns blocks and places into line numbers. `files`, a written table
+    with FILE_COLUMNS, names the files to read. It is broadcast up to FILE_LIST_BYTES: the other
+    leaves are then pruned before the scan, and lines stay in their order for the places. A
+    longer list joins afterwards, with the places already given.
     """
-    return with_places(spark.read.schema(LANDED).text(root), encoding)
+    raw = spark.read.schema(LANDED).text(root).select("*", "_metadata")
+    if files is None:
+        return with_places(raw, encoding)
+    length = F.octet_length("server_id") + F.octet_length("source_file_path")
+    if (files.agg(F.sum(length)).first()[0] or 0) <= FILE_LIST_BYTES:
+        return with_places(raw.join(F.broadcast(files), FILE_COLUMNS, "left_semi"), encoding)
+    return with_places(raw, encoding).join(files, FILE_COLUMNS, "left_semi")
 
 
 def scan_files(spark: SparkSession, paths, encoding: str = "UTF-8") -> DataFrame:
