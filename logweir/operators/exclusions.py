@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir import model as m
+from logweir.functions.times import day_text
 
 FILE_COLUMNS = ["server_id", "source_file_path"]
 
@@ -43,7 +44,7 @@ def exclusion_rows(outcomes: DataFrame, run_ts: Column) -> DataFrame:
             F.coalesce(flag, F.lit(m.NO)).alias("restore_yn"),
             F.lit(None).cast("timestamp_ntz").alias("restore_at"),
             F.lit(None).cast("string").alias("restore_memo"),
-            F.date_format(run_ts, "yyyyMMdd").alias("exclude_date"),
+            day_text(run_ts).alias("exclude_date"),
             run_ts.alias("created_at"),
             run_ts.alias("updated_at"),
         )

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir import model as m
+from logweir.functions.times import day_text
 
 FILE_COLUMNS = ["server_id", "source_file_path"]
 _ID = "collect_history_id"
@@ -36,7 +37,7 @@ def opening_events(runs: DataFrame, run_ts: Column) -> DataFrame:
         F.lit(0).cast("bigint").alias("retry_count"),
         F.lit(m.IN_PROGRESS).alias("fail_reason"),
         run_ts.alias("collect_start_at"),
-        F.date_format(run_ts, "yyyyMMdd").alias("collect_date"),
+        day_text(run_ts).alias("collect_date"),
         run_ts.alias("created_at"),
         run_ts.alias("updated_at"),
         F.lit(0).alias("seq"),
