@@ -4,17 +4,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logweir.llm.mixing import mixed
+from logweir.llm.packing import packed, tokenized
+from logweir.llm.quality import accepted
+from logweir.llm.secret_scan import redacted
 from logweir.llm.simhash import simhash_dedup
 from logweir.sources.staging import stage
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return simhash_dedup(docs)
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret."""
+    return redacted(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of documents by their source's rate; a copy has its document's id and columns."""
+    return mixed(docs).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all copies in sequences of at most 4096 tokens."""
+    return packed(tokenized(docs))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
     ("SimHash near-dedup", near_duplicates),
+    ("secret scans", secrets),
+    ("mixing sources to target weights", mixture),
+    ("best-fit packing", packing),
 ]
 
 
