@@ -155,12 +155,18 @@ def as_text(sig: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal tuples among the bins that either fills; 1 if both are empty."""
+    """Estimated share of common text, 0 to 1; 1 if both are empty.
+
+    The share of equal tuples among the bins that either fills is about J ** TUPLE, where J is the
+    Jaccard likeness of the k-mers; texts of one length with the share s in common have
+    J = s / (2 - s).
+    """
     bins = F.array_union(
         F.transform(a, lambda s: F.shiftright(s, 16)), F.transform(b, lambda s: F.shiftright(s, 16))
     )
-    equal = F.size(F.array_intersect(a, b)).cast("double")
-    return F.when(F.size(bins) == 0, F.lit(1.0)).otherwise(equal / F.size(bins))
+    equal = F.size(F.array_intersect(a, b)).cast("double") / F.size(bins)
+    jaccard = F.pow(equal, F.lit(1.0 / TUPLE))
+    return F.when(F.size(bins) == 0, F.lit(1.0)).otherwise(2 * jaccard / (1 + jaccard))
 
 
 def with_next(rows: DataFrame, ranges: int) -> DataFrame:
