@@ -80,7 +80,8 @@ def _candidates(kmers: Column) -> Column:
         )
     )
     # Sorted by k-mer, then place: equal neighbours are numbered along the text.
-    share = F.least(F.lit(1.0), F.lit(float(_SPARE * BINS)) / F.size(kmers))
+    count = F.greatest(F.lit(1), F.size(kmers))
+    share = F.least(F.lit(1.0), F.lit(float(_SPARE * BINS)) / count)
     limit = F.floor(share * float(1 << _RANK_BITS)).cast("bigint")
 
     def fold(most: Column) -> Column:
@@ -164,7 +165,8 @@ def likeness(a: Column, b: Column) -> Column:
     bins = F.array_union(
         F.transform(a, lambda s: F.shiftright(s, 16)), F.transform(b, lambda s: F.shiftright(s, 16))
     )
-    equal = F.size(F.array_intersect(a, b)).cast("double") / F.size(bins)
+    filled = F.greatest(F.lit(1), F.size(bins))
+    equal = F.size(F.array_intersect(a, b)).cast("double") / filled
     jaccard = F.pow(equal, F.lit(1.0 / TUPLE))
     return F.when(F.size(bins) == 0, F.lit(1.0)).otherwise(2 * jaccard / (1 + jaccard))
 

@@ -50,7 +50,8 @@ def rates(
             "_source", "size", F.coalesce(F.col("weight").cast("double"), F.lit(0.0)).alias("weight")
         )
     totals = sizes.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    rate = F.col("weight") / F.col("all_weight") * budget * F.col("all_size") / F.col("size")
+    share = F.coalesce(F.try_divide("weight", "all_weight"), F.lit(0.0))
+    rate = F.try_divide(share * budget * F.col("all_size"), F.col("size"))
     last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 30).cast("int")
 
     def step(state: Column, k: Column) -> Column:
