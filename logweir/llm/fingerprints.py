@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 K = 3
 TUPLE = 2
 BINS = 64
-_SPARE = 8
+_SPARE = 6
 _PLACE_BITS = 24
 _PLACE = (1 << _PLACE_BITS) - 1
 _RANK_BITS = 57  # a hash of 63 bits is 6 bits of bin, then its rank; the lowest 24 give way
 # Scripts without spaces between words: CJK, kana and Hangul blocks, Thai to Myanmar, Khmer.
 _ALONE = r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{D7FF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
-_WORD = rf"[{_ALONE}]|[^\s{_ALONE}]+"
+# One range around all of them, as a quick test.
+_MAY_STAND_ALONE = r"[\x{E00}-\x{3FFFF}]"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -51,6 +52,13 @@ def _long(value: int) -> Column:
     return F.lit(value).cast("bigint")
 
 
+def _words(text: Column) -> Column:
+    """Runs between white space, and each code point of a script without spaces."""
+    apart = F.regexp_replace(text, f"([{_ALONE}])", " $1 ")
+    spaced = F.when(text.rlike(_MAY_STAND_ALONE), apart).otherwise(text)
+    return F.array_remove(F.split(spaced, r"\s+"), "")
+
+
 def _kmers(words: Column) -> Column:
     """Hashes of all runs of K words; of a shorter text, the hash of all its words."""
 
@@ -68,9 +76,29 @@ def _kmers(words: Column) -> Column:
     return _let(F.transform(words, lambda w: F.xxhash64(w)), runs)
 
 
+def _number(packed: Column, i: Column, kmer: Callable[[Column], Column]) -> Column:
+    """How many equal k-mers stand right before place `i` of a sorted array.
+
+    Mostly none; else found bit by bit, as equal ones are neighbours.
+    """
+    own = kmer(F.get(packed, i))
+
+    def equal(distance: Column) -> Column:
+        return (distance <= i) & (kmer(F.get(packed, i - distance)) == own)
+
+    bits = F.array(*[F.lit(1 << b) for b in range(_PLACE_BITS, -1, -1)])
+    found = F.aggregate(
+        bits, F.lit(0), lambda n, bit: F.when(equal(n + bit), n + bit).otherwise(n)
+    )
+    return F.when(equal(F.lit(1)), found).otherwise(F.lit(0))
+
+
 def _candidates(kmers: Column) -> Column:
     """Bin, rank and place of numbered k-mers, sorted: those of small rank for their number."""
     mask = _long((1 << 63 - _PLACE_BITS) - 1)
+    count = F.greatest(F.lit(1), F.size(kmers))
+    share = F.least(F.lit(1.0), F.lit(float(_SPARE * BINS)) / count)
+    limit = F.floor(share * float(1 << _RANK_BITS)).cast("bigint")
     packed = F.sort_array(
         F.transform(
             kmers,
@@ -79,34 +107,24 @@ def _candidates(kmers: Column) -> Column:
             ),
         )
     )
-    # Sorted by k-mer, then place: equal neighbours are numbered along the text.
-    count = F.greatest(F.lit(1), F.size(kmers))
-    share = F.least(F.lit(1.0), F.lit(float(_SPARE * BINS)) / count)
-    limit = F.floor(share * float(1 << _RANK_BITS)).cast("bigint")
 
-    def fold(most: Column) -> Column:
-        def step(state: Column, x: Column) -> Column:
-            kmer = F.shiftrightunsigned(x, _PLACE_BITS)
-            number = F.when(kmer == state["kmer"], state["number"] + 1).otherwise(F.lit(0))
-            hashed = F.xxhash64(kmer, number).bitwiseAND(_long((1 << 63) - 1))
-            small = hashed.bitwiseAND(_long((1 << _RANK_BITS) - 1)) < most
-            entry = hashed.bitwiseAND(_long(~_PLACE)).bitwiseOR(x.bitwiseAND(_long(_PLACE)))
-            return F.struct(
-                kmer.alias("kmer"),
-                number.alias("number"),
-                F.when(small, F.concat(state["kept"], F.array(entry)))
-                .otherwise(state["kept"])
-                .alias("kept"),
-            )
+    def kmer(x: Column) -> Column:
+        return F.shiftrightunsigned(x, _PLACE_BITS)
 
-        start = F.struct(
-            _long(-1).alias("kmer"),
-            F.lit(0).alias("number"),
-            F.array().cast("array<bigint>").alias("kept"),
+    # Sorted by k-mer, then place: equal neighbours are numbered along the text.
+    def entries(ordered: Column) -> Column:
+        return F.transform(
+            ordered,
+            lambda x, i: F.xxhash64(kmer(x), _number(ordered, i, kmer))
+            .bitwiseAND(_long((1 << 63) - 1 - _PLACE))
+            .bitwiseOR(x.bitwiseAND(_long(_PLACE))),
         )
-        return F.sort_array(F.aggregate(packed, start, step, lambda state: state["kept"]))
 
-    return _let(limit, fold)
+    rank = _long((1 << _RANK_BITS) - 1)
+    small = _let(
+        limit, lambda most: F.filter(_let(packed, entries), lambda e: e.bitwiseAND(rank) < most)
+    )
+    return F.sort_array(small)
 
 
 def signature(text: Column) -> Column:
@@ -144,8 +162,7 @@ def signature(text: Column) -> Column:
 
         return F.array_compact(F.transform(ordered, hashed))
 
-    words = F.regexp_extract_all(text, F.lit(_WORD), 0)
-    found = _let(words, lambda w: _let(_kmers(w), _candidates))
+    found = _let(_words(text), lambda w: _let(_kmers(w), _candidates))
     return _let(found, lambda c: _let(smallest(c), tuples))
 
 

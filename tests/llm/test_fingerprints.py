@@ -42,6 +42,7 @@ def by_definition(text):
     for place, kmer in enumerate(k & ((1 << 39) - 1) for k in kmers):
         number = seen[kmer] = seen.get(kmer, -1) + 1
         hashed = _int(number, _long(kmer, 42)) & ((1 << 63) - 1)
+        hashed = hashed >> 24 << 24 | place
         if hashed & ((1 << 57) - 1) < int(share * (1 << 57)):
             bins.setdefault(hashed >> 57, []).append((hashed >> 24 & ((1 << 33) - 1), place))
     result = {}
