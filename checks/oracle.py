@@ -279,13 +279,35 @@ scanned AS (
     event_id, line
   FROM ({inputs.EVENT_LINES_SQL}))"""
 
+STORED = f"""{SCANNED},
+numbered AS (
+  SELECT server_id, source_file_path, line, row_number() OVER (
+    PARTITION BY server_id, source_file_path ORDER BY event_id) AS line_number
+  FROM scanned),
+runs AS (
+  SELECT server_id, source_file_path, count(*) AS n_lines, server_id <> 'srv0' AS later,
+    sum(strlen(line) + 1)::bigint AS n_bytes,
+    server_id || '::10.0.0.1::' || source_file_path || '+::주기|*|080000|30|235959::'
+      || CASE WHEN server_id = 'srv0' THEN '20240120T100000' ELSE '20240120T110000' END AS run_key
+  FROM numbered GROUP BY ALL),
+ranges AS (
+  SELECT *, coalesce(sum(n_lines) OVER (ORDER BY later, left(md5(run_key), 3), run_key
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    CASE WHEN later THEN TIMESTAMP '2024-01-20 11:00:00' ELSE TIMESTAMP '2024-01-20 10:00:00' END
+      AS run_at
+  FROM runs),
+{_parsed('SELECT server_id, source_file_path, line_number, line FROM numbered')},
+stored AS (
+  SELECT p.*, '10.0.0.1' AS server_ip, '주기' AS schedule_type, '20240120' AS collect_date,
+    r.run_at AS collect_datetime, r.run_at AS created_at,
+    (r.before + p.line_number)::bigint AS collect_log_id,
+    CASE WHEN log_type IN ('수치', '시간') THEN value_text END AS log_value_text
+  FROM parsed p JOIN ranges r USING (server_id, source_file_path) WHERE fault IS NULL)"""
+PLACE = "server_ip, schedule_type, collect_date, collect_datetime"
 LOOKUP = f"""
-WITH {EVENTS}
-SELECT server_id, source_file_path, {LOG},
-  strftime(date_trunc('month', log_timestamp), '%Y%m%d') AS collect_date, line_number
-FROM parsed
-WHERE fault IS NULL AND date_trunc('month', log_timestamp) = DATE '2024-01-01'
-  AND server_id = 'srv7' AND log_type = """
+WITH {STORED}
+SELECT collect_log_id, {KEY}, {LOG}, {PLACE}, created_at, log_value_text
+FROM stored WHERE server_id = 'srv1' AND log_type = """
 
 ORACLE = {
     "normalize_lines": f"WITH {EVENTS} SELECT {KEY}, {LOG}, "
@@ -383,9 +405,23 @@ FROM parsed JOIN ranges USING (run_key) WHERE fault IS NULL""",
     f"'N' AS restore_yn, '{COLLECT_DATE}' AS exclude_date, "
     "TIMESTAMP '2024-01-20 10:00:00' AS created_at "
     "FROM outcomes WHERE fail_reason IN ('INIT_SIZE_EXCEEDED', 'PART_SIZE_EXCEEDED')",
-    "analyze_lookup": LOOKUP + "'수치' ORDER BY log_timestamp, source_file_path, line_number",
-    "analyze_lookup_id": LOOKUP + "'수치' AND log_id = 'CLICK_7' "
-    "ORDER BY log_timestamp, source_file_path, line_number",
+    "analyze_lookup": LOOKUP + "'수치'",
+    "analyze_lookup_id": LOOKUP + "'수치' AND log_id = 'CLICK_7'",
+    "collect_store": f"WITH {STORED} SELECT {KEY}, {LOG}, {PLACE}, log_value_text, "
+    "collect_log_id FROM stored",
+    "store_history": f"""WITH {STORED},
+counts AS (SELECT server_id, source_file_path, count(*) AS n FROM stored GROUP BY ALL),
+jobs AS (
+  SELECT r.*, unnest(CASE WHEN later THEN [2] ELSE [1, 2] END) AS job FROM ranges r)
+SELECT server_id, source_file_path, 'SUCCESS' AS collect_status,
+  CASE WHEN later OR job = 1 THEN coalesce(n, 0) ELSE 0 END AS collected_count,
+  n_lines AS last_line_number, n_bytes AS file_size_bytes,
+  TIMESTAMP '2024-01-20 09:00:00' + to_hours(job) AS collect_start_at,
+  TIMESTAMP '2024-01-20 09:00:00' + to_hours(job) AS collect_end_at
+FROM jobs LEFT JOIN counts USING (server_id, source_file_path)""",
+    "collect_taken_once": f"WITH {STORED} SELECT server_id, source_file_path, "
+    "count(*) AS n_records, count(*) AS n_ids, 1::bigint AS n_runs FROM stored GROUP BY ALL",
+    "stream_collect": f"WITH {STORED} SELECT {KEY}, {LOG} FROM stored",
     "schedule_parse": f"WITH {SCHEDULES} SELECT * FROM schedules",
     "schedule_calendar": f"""WITH {SCHEDULES},
 days AS (SELECT unnest([DATE '2024-01-19', DATE '2024-01-20', DATE '2024-01-21']) AS run_date),

@@ -15,10 +15,18 @@ from logweir.operators import runs as rn
 from logweir.operators.lookup import find_logs
 from logweir.operators.normalize import accepted, parse_lines, rejected
 from logweir.operators.numbering import block_offsets, number_lines, numbered
-from logweir.operators.schedules import due_runs, parse_schedules, run_calendar
-from logweir.plans.collect import closing_events, collect_run, prepare_runs
-from logweir.sources.lines import BLOCK_COLUMNS, file_sizes, scan_landed
+from logweir.operators.schedules import due_runs, parse_schedules, run_calendar, with_rules
+from logweir.plans.collect import (
+    closing_events,
+    collect_history,
+    collect_landed,
+    collect_run,
+    prepare_runs,
+)
+from logweir.sources.lines import BLOCK_COLUMNS, LANDED, file_sizes, scan_landed
 from logweir.sources.staging import new_folder, stage, stage_numbered
+from logweir.sources.store import read_logs, read_table, write_table
+from logweir.streaming.collect_stream import collect_stream
 
 RUN_TS = dt.datetime(2024, 1, 20, 10)
 RUN_ID = "20240120T100000"
@@ -139,7 +147,7 @@ def _event_blocks(spark, sf_dir) -> DataFrame:
 
 
 def line_number_blocks(spark, sf_dir):
-    lines = _event_blocks(spark, sf_dir)
+    lines = stage(_event_blocks(spark, sf_dir), "lines")
     return numbered(lines, FILE_COLUMNS, ["block_start"]).select(*KEY, "event_id", "line")
 
 
@@ -196,7 +204,8 @@ def _facts(spark, sf_dir) -> DataFrame:
 
 
 def _numbered_events(spark, sf_dir) -> DataFrame:
-    return numbered(_event_blocks(spark, sf_dir), FILE_COLUMNS, ["block_start"]).drop("event_id")
+    lines = stage(_event_blocks(spark, sf_dir).drop("event_id"), "lines")
+    return numbered(lines, FILE_COLUMNS, ["block_start"])
 
 
 def path_resolve(spark, sf_dir):
@@ -253,12 +262,19 @@ def incremental_tail(spark, sf_dir):
 
 
 def tail_bytes_guard(spark, sf_dir):
-    """Runs over documents as files, read from their start; long ones reach the limit."""
-    lines = rn.slim_lines(inputs.document_lines(spark, sf_dir)).withColumn(
-        "run_key", F.col("source_file_path")
+    """Periodic runs over documents as files, read from their start; long ones reach the limit."""
+    key = F.col("source_file_path").alias("run_key")
+    lines = rn.slim_lines(inputs.document_lines(spark, sf_dir))
+    totals = stage(rn.read_totals(lines.select("*", key)), "totals")
+    facts = totals.select(
+        "run_key", F.lit(m.PERIODIC).alias("schedule_type"), F.lit(1).alias("start_line"),
+        F.lit(m.READING).alias("collect_status"), F.lit("").alias("fail_reason"),
+    )
+    ended = rn.run_outcomes(facts, totals, 5000)
+    exceeded = (F.col("fail_reason") == m.PART_SIZE_EXCEEDED).alias("exceeded")
+    return ended.select("run_key", "line_count", "tail_bytes", exceeded).join(
+        totals.select("run_key", "max_line"), "run_key"
     )
-    totals = rn.read_totals(lines)
-    return totals.withColumn("exceeded", F.col("tail_bytes") >= 5000)
 
 
 def _collected(spark, sf_dir):
@@ -328,18 +344,99 @@ def exclude_register(spark, sf_dir):
     )
 
 
-def _dated_logs(spark, sf_dir) -> DataFrame:
-    month = F.date_trunc("month", F.col("log_timestamp"))
-    logs = accepted(parsed_events(spark, sf_dir))
-    return logs.withColumn("collect_date", F.date_format(month, "yyyyMMdd"))
+# ---- The store ----
+
+LATER_TS = RUN_TS + dt.timedelta(hours=1)
+NO_LIMIT = {"part_limit": 1 << 62, "init_limit": 1 << 62}
+PLACE = ["server_ip", "schedule_type", "collect_date", "collect_datetime"]
+
+
+def _files(spark, sf_dir, expression: str, kind: str) -> DataFrame:
+    """One schedule for each log file of `_land_events`."""
+    files = inputs.read(spark, sf_dir, "events").selectExpr(
+        "concat('srv', event_id % 3) AS server_id",
+        "concat('/logs/', event_type, '.log+') AS source_file_path",
+    )
+    return files.distinct().selectExpr(
+        "server_id", "'10.0.0.1' AS server_ip", "source_file_path",
+        f"'{expression}' AS schedule_expression", f"'{kind}' AS schedule_type",
+    )
+
+
+def _stored(spark, sf_dir) -> str:
+    """A store after two jobs over landed files: first those of srv0, then all."""
+    landed, store = _land_events(spark, sf_dir), new_folder(spark, "store")
+    due = stage(_files(spark, sf_dir, "주기|*|080000|30|235959", m.PERIODIC), "due")
+    for rows, run_ts in ((due.where("server_id = 'srv0'"), RUN_TS), (due, LATER_TS)):
+        collect_landed(
+            spark, store, landed, rows, run_ts, clock=lambda ts=run_ts: ts, **NO_LIMIT
+        )
+    return store
+
+
+def collect_store(spark, sf_dir):
+    """Logs read back from the store; each line was collected by the first job that read it."""
+    logs = read_logs(spark, _stored(spark, sf_dir))
+    return logs.select(*KEY, *LOG, *PLACE, "log_value_text", "collect_log_id")
+
+
+def store_history(spark, sf_dir):
+    """The runs of both jobs as the store tells them."""
+    return collect_history(spark, _stored(spark, sf_dir)).select(
+        *FILE_COLUMNS, "collect_status", "collected_count", "last_line_number",
+        "file_size_bytes", "collect_start_at", "collect_end_at",
+    )
+
+
+def collect_taken_once(spark, sf_dir):
+    """Batch schedules that stand twice in the file and are due in two polls run once."""
+    landed, store = _land_events(spark, sf_dir), new_folder(spark, "store")
+    rows = _files(spark, sf_dir, "배치|*|100000", m.BATCH)
+    rules = with_rules(rows.drop("schedule_type"))
+    rules = stage(rules.unionByName(rules), "rules")
+    for second in (0, 1):
+        ts = RUN_TS + dt.timedelta(seconds=second)
+        collect_landed(spark, store, landed, due_runs(rules, ts), ts, **NO_LIMIT)
+    logs = read_logs(spark, store).groupBy(*FILE_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n_records"), F.countDistinct("collect_log_id").alias("n_ids")
+    )
+    runs = collect_history(spark, store).groupBy(*FILE_COLUMNS)
+    return logs.join(runs.agg(F.count(F.lit(1)).alias("n_runs")), FILE_COLUMNS)
+
+
+def stream_collect(spark, sf_dir):
+    """Landed segments as a stream: files over a limit are read after they were restored."""
+    landed, store = _land_events(spark, sf_dir), new_folder(spark, "store")
+    checkpoint = new_folder(spark, "checkpoint")
+    periodic = stage(_files(spark, sf_dir, "주기|*|080000|30|235959", m.PERIODIC), "schedules")
+
+    def start(run_ts: dt.datetime, **options) -> None:
+        collect_stream(
+            spark, landed, store, periodic, checkpoint, clock=lambda: run_ts, options=options
+        ).awaitTermination()
+
+    start(RUN_TS, part_limit=10_000)
+    excluded = read_table(spark, store, "collect_exclude")
+    write_table(
+        stage(excluded.withColumn("restore_yn", F.lit(m.YES)), "restored"), store, "collect_exclude"
+    )
+    # Something has to land for the second start: the same lines for a server without schedules.
+    more = spark.read.schema(LANDED).text(landed).where("server_id = 'srv0'")
+    more.withColumn("server_id", F.lit("new")).write.mode("append").partitionBy(
+        *FILE_COLUMNS
+    ).text(landed)
+    start(LATER_TS, **NO_LIMIT)
+    return read_logs(spark, store).select(*KEY, *LOG)
 
 
 def analyze_lookup(spark, sf_dir):
-    return find_logs(_dated_logs(spark, sf_dir), "20240101", "srv7", m.NUMERIC)
+    """Numeric logs of one server and day, from the stored table."""
+    return find_logs(read_logs(spark, _stored(spark, sf_dir)), COLLECT_DATE, "srv1", m.NUMERIC)
 
 
 def analyze_lookup_id(spark, sf_dir):
-    return find_logs(_dated_logs(spark, sf_dir), "20240101", "srv7", m.NUMERIC, "CLICK_7")
+    logs = read_logs(spark, _stored(spark, sf_dir))
+    return find_logs(logs, COLLECT_DATE, "srv1", m.NUMERIC, "CLICK_7")
 
 
 # ---- Schedules ----
@@ -374,7 +471,8 @@ QUERIES = {
         path_resolve, last_line_top1, last_line_date_reset, history_open, history_fold,
         exclude_anti_join, exclude_count, incremental_tail, tail_bytes_guard,
         collect_end_to_end, collect_log_ids, collect_rejects, run_status, run_summary, history_close,
-        exclude_register, analyze_lookup, analyze_lookup_id, schedule_parse,
+        exclude_register, collect_store, store_history, collect_taken_once, stream_collect,
+        analyze_lookup, analyze_lookup_id, schedule_parse,
         schedule_calendar, due_at,
     )
 }

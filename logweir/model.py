@@ -26,6 +26,7 @@ EXCLUDED = "EXCLUDED"
 INIT_SIZE = "INIT_SIZE"
 PART_SIZE = "PART_SIZE"
 INIT_SIZE_EXCEEDED = "INIT_SIZE_EXCEEDED"
+NO_SCHEDULE = "NO_SCHEDULE"
 PART_SIZE_EXCEEDED = "PART_SIZE_EXCEEDED"
 INIT_SIZE_DETAIL = "배치 수집 파일 크기 초과"
 PART_SIZE_DETAIL = "주기 수집 증분 크기 초과"
@@ -68,15 +69,6 @@ REJECT_REASONS = {
 
 # ---- Schemas ----
 
-LINES = (
-    "server_id string, source_file_path string, line_number bigint, line string, "
-    "file_size_bytes bigint"
-)
-
-SCHEDULES = (
-    "server_id string, server_ip string, source_file_path string, schedule_expression string"
-)
-
 COLLECT_LOG = (
     "collect_log_id bigint, server_id string, server_ip string, source_file_path string, "
     "log_type string, log_id string, log_timestamp timestamp_ntz, log_content string, "
@@ -101,8 +93,14 @@ COLLECT_HISTORY = (
 # History is kept as events that are folded into one row per run when read.
 HISTORY_EVENTS = (
     COLLECT_HISTORY
-    + ", path_template string, run_key string, issued_ids bigint, seq int, "
-    "run_id string, stage string"
+    + ", path_template string, run_key string, schedule_key string, run_date date, "
+    "run_index bigint, issued_ids bigint, seq int, run_id string, stage string"
+)
+
+# Line counts of landed segments that were read to their end.
+SEGMENTS = (
+    "server_id string, source_file_path string, segment string, length bigint, "
+    "modified timestamp, lines bigint, collect_date string, run_id string"
 )
 
 COLLECT_EXCLUDE = (

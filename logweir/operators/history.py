@@ -8,6 +8,7 @@ from logweir.functions.times import day_text
 
 FILE_COLUMNS = ["server_id", "source_file_path"]
 _ID = "collect_history_id"
+_RUN_COLUMNS = ("path_template", "run_key", "schedule_key", "run_date", "run_index")
 
 
 def fold_history(events: DataFrame, order: str = "seq") -> DataFrame:
@@ -41,7 +42,7 @@ def opening_events(runs: DataFrame, run_ts: Column) -> DataFrame:
         run_ts.alias("created_at"),
         run_ts.alias("updated_at"),
         F.lit(0).alias("seq"),
-        *[c for c in ("path_template", "run_key", "run_id", "stage") if c in runs.columns],
+        *[c for c in (*_RUN_COLUMNS, "run_id", "stage") if c in runs.columns],
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 COLUMNS = [
     "collect_log_id", "server_id", "server_ip", "source_file_path", "log_type", "log_id",
     "log_timestamp", "log_content", "log_value", "raw_log", "collect_date", "collect_datetime",
-    "schedule_type", "line_number", "created_at",
+    "schedule_type", "line_number", "created_at", "log_value_text",
 ]
 
 
@@ -15,9 +15,14 @@ def find_logs(
 ) -> DataFrame:
     """Logs of one collection date, server and type, of one log id if given, in time order.
 
-    The table is partitioned by date, so only that date is read. Equal times are ordered by
-    path and line, which are unique within the result together with the log id.
+    The table is partitioned by date, so only that date is read. Equal times are ordered by path,
+    line and the record's own id, so the order is total. `log_value_text` is the value as it was
+    written, for those that the decimal type rounds or cannot hold. Raises ValueError if `logs`
+    lacks a column.
     """
+    missing = [c for c in COLUMNS if c not in logs.columns]
+    if missing:
+        raise ValueError(f"no log table: {', '.join(missing)} missing")
     wanted = (
         (F.col("collect_date") == collect_date)
         & (F.col("server_id") == server_id)
@@ -27,6 +32,6 @@ def find_logs(
         wanted = wanted & (F.col("log_id") == log_id)
     return (
         logs.where(wanted)
-        .select(*[c for c in COLUMNS if c in logs.columns])
-        .orderBy("log_timestamp", "source_file_path", "line_number")
+        .select(*COLUMNS)
+        .orderBy("log_timestamp", "source_file_path", "line_number", "collect_log_id")
     )

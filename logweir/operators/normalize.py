@@ -20,7 +20,14 @@ from logweir.functions.text import (
     without_tokens,
 )
 from logweir.functions.times import lenient_timestamp
-from logweir.functions.values import VALUE_TYPE, is_number, minutes_of_day, number
+from logweir.functions.values import (
+    VALUE_TYPE,
+    is_exact,
+    is_number,
+    minutes_of_day,
+    number,
+)
+from logweir.sources.staging import stage
 
 RECORD_COLUMNS = [
     "log_type", "log_id", "log_timestamp", "log_content",
@@ -136,23 +143,22 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         )
         .when(n_tokens > 0, 19)
     )
+    # Only the fault is finished: the values stay a plain select, so that a caller who wants
+    # reasons alone computes no values.
     records = finish(
-        typed, carried,
+        typed, typed.columns, F.coalesce(layout_fault, value_fault).alias("_fault")
+    )
+    return records.select(
+        *carried,
         log_type, log_id, stamp,
         F.coalesce(single_spaced(F.col("_bare")), content).alias("log_content"),
         F.when(log_type == m.NUMERIC, number(value_text)).otherwise(minutes.cast(VALUE_TYPE))
         .alias("log_value"),
         value_text,
-        F.coalesce(layout_fault, value_fault).alias("_fault"),
-        F.col("_n_tokens"), F.col("_first"),
+        # A number that the decimal type cannot hold, or only rounded, is kept as text.
+        ((log_type == m.NUMERIC) & F.coalesce(~is_exact(value_text), F.lit(True)))
+        .alias("value_overflow"),
         F.when(F.col("_closed") & ~F.col("_more"), F.concat(mark, body, mark)).alias("raw_log"),
-    )
-    return records.select(
-        *carried,
-        *[c for c in RECORD_COLUMNS if c not in ("value_overflow", "raw_log")],
-        # A number that the decimal type cannot hold is kept as text.
-        ((log_type == m.NUMERIC) & F.col("log_value").isNull()).alias("value_overflow"),
-        "raw_log",
         F.concat(F.lit("R"), F.col("_fault").cast("string")).alias("reason_code"),
         _detail().alias("detail"),
     )
@@ -169,8 +175,8 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 
 def normalize(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Logs and rejects of whole files, without any run history."""
-    parsed = parse_lines(lines)
+    """Logs and rejects of whole files, without any run history; parsed once and staged."""
+    parsed = stage(parse_lines(lines), "parsed")
     return accepted(parsed), rejected(parsed)
 
 

@@ -40,7 +40,8 @@ def settle_runs(
     """What is known of a run before its file is opened.
 
     Adds `file_size_bytes`, `start_line`, `collect_status` and `fail_reason`. The status is
-    READING for runs that go on to read their file, and final for all others.
+    READING for runs that go on to read their file, and final for all others. A run without a
+    schedule type stands for a file that no schedule names.
     """
     found = (
         runs.join(active_exclusions(exclude), FILE_COLUMNS, "left")
@@ -50,13 +51,16 @@ def settle_runs(
     size = F.col("file_size_bytes")
     periodic = F.col("schedule_type") == m.PERIODIC
     last = F.when(F.col("keeps_position"), F.col("last_any")).otherwise(F.col("last_today"))
+    unnamed = F.col("schedule_type").isNull()
     reason = (
-        F.when(F.col("active_count") > 0, m.EXCLUDED)
+        F.when(unnamed, m.NO_SCHEDULE)
+        .when(F.col("active_count") > 0, m.EXCLUDED)
         .when(size.isNull(), F.concat(F.lit("file missing: "), "source_file_path"))
         .when(~periodic & (size >= init_limit), m.INIT_SIZE_EXCEEDED)
     )
     status = (
-        F.when(F.col("active_count") > 0, m.SKIP)
+        F.when(unnamed, m.FAIL)
+        .when(F.col("active_count") > 0, m.SKIP)
         .when(size.isNull(), m.FAIL)
         .when(~periodic & (size >= init_limit), m.SKIP)
         .otherwise(m.READING)
@@ -72,13 +76,6 @@ def settle_runs(
     )
 
 
-def lines_from(lines: DataFrame, start_line: int) -> DataFrame:
-    """Lines from a number on; numbers start at 1."""
-    if start_line < 1:
-        raise ValueError(f"lines are numbered from 1, not {start_line}")
-    return lines.where(F.col("line_number") >= start_line)
-
-
 def slim_lines(lines: DataFrame) -> DataFrame:
     """Add `line_bytes` and blank out plain lines, of which only number and length matter."""
     line = F.col("line")

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logweir import model as m
@@ -29,11 +30,14 @@ from logweir.operators.runs import (
     with_record_totals,
 )
 from logweir.operators.schedules import schedule_key
-from logweir.sources.lines import BLOCK_COLUMNS, file_sizes, scan_landed
+from logweir.sources.lines import BLOCK_COLUMNS, file_sizes, landed_segments, scan_landed
 from logweir.sources.staging import job_folder, stage, stage_numbered
 from logweir.sources.store import CLOSE, OPEN, create_store, read_table, write_table
 
 
+TAKEN_COLUMNS = ["schedule_key", "run_date", "run_index"]
+
+
 class Collected(NamedTuple):
     """What a job found; nothing is committed yet."""
 
@@ -43,22 +47,92 @@ class Collected(NamedTuple):
 
 
 def prepare_runs(due: DataFrame, run_ts: dt.datetime, run_id: str) -> DataFrame:
-    """Due schedules as runs of this job, with `run_key` and the path of the day."""
+    """Due schedules as runs of this job, with `run_key` and the path of the day.
+
+    Schedules that stand twice in the file have one key and give one run. A column `landed_path`
+    names the file where it is known already; reading goes on where it was left, on any day.
+    """
+    landed = [c for c in due.columns if c == "landed_path"]
     runs = due.select(
         "server_id", "server_ip", "source_file_path", "schedule_expression", "schedule_type",
-        F.concat_ws("::", schedule_key(), F.lit(run_id)).alias("run_key"),
+        F.concat_ws("::", schedule_key(), F.lit(run_id), *landed).alias("run_key"),
         F.lit(run_id).alias("run_id"),
+        schedule_key().alias("schedule_key"),
+        *[c for c in ("run_date", "run_index", *landed) if c in due.columns],
+    ).dropDuplicates(["run_key"])
+    runs = resolve_paths(runs, f"{run_ts:%Y%m%d}")
+    if not landed:
+        return runs
+    return runs.withColumns(
+        {"source_file_path": F.col("landed_path"), "keeps_position": F.lit(True)}
+    ).drop("landed_path")
+
+
+def not_taken(runs: DataFrame, events: DataFrame, run_ts: dt.datetime, run_id: str) -> DataFrame:
+    """Runs that no other job of the day has opened for the same date and index.
+
+    Runs that were not chosen by `due_runs` have no index and are always taken.
+    """
+    if "run_index" not in runs.columns:
+        return runs
+    others = events.where(
+        (F.col("collect_date") == f"{run_ts:%Y%m%d}")
+        & (F.col("run_id") != run_id)
+        & (F.col("stage") == OPEN)
+        & F.col("run_index").isNotNull()
     )
-    return resolve_paths(runs, f"{run_ts:%Y%m%d}")
+    return runs.join(others.select(*TAKEN_COLUMNS).distinct(), TAKEN_COLUMNS, "left_anti")
+
+
+class LandedReader:
+    """Numbered lines of the landed files that runs read.
+
+    `known` are rows of the store's segment table. The first segments of a file are left shut if
+    they are as they were when their lines were counted, and a run starts behind them. The others
+    are opened, staged and counted; `counted` then holds their rows for the segment table.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, known: DataFrame | None = None, encoding="UTF-8"
+    ) -> None:
+        self.spark, self.root, self.known, self.encoding = spark, root, known, encoding
+        self.counted: DataFrame | None = None
 
+    def _wanted(self, facts: DataFrame) -> DataFrame:
+        """Segments of the files that a run reads, with the lines before them if they are shut."""
+        reading = facts.where(F.col("collect_status") == m.READING)
+        starts = reading.groupBy(*FILE_COLUMNS).agg(F.min("start_line").alias("start_line"))
+        segments = landed_segments(self.spark, self.root).join(starts, FILE_COLUMNS)
+        if self.known is None:
+            segments = segments.withColumn("lines", F.lit(None).cast("bigint"))
+        else:
+            same = [*FILE_COLUMNS, "segment", "length", "modified"]
+            known = self.known.groupBy(*same).agg(F.max("lines").alias("lines"))
+            segments = segments.join(known, same, "left")
+        along = W.partitionBy(*FILE_COLUMNS).orderBy("segment")
+        along = along.rowsBetween(W.unboundedPreceding, W.currentRow)
+        counted = F.count("lines").over(along) == F.count(F.lit(1)).over(along)
+        total = F.sum("lines").over(along)
+        return segments.withColumn(
+            "shut", F.coalesce(counted & (total < F.col("start_line")), F.lit(False))
+        )
 
-def numbered_landed(spark: SparkSession, root: str, facts: DataFrame) -> DataFrame:
-    """Numbered lines of the landed files that a run in `facts` reads; the others stay shut."""
-    reading = facts.where(F.col("collect_status") == m.READING)
-    reading = reading.select(*FILE_COLUMNS).distinct()
-    lines = stage(slim_lines(scan_landed(spark, root, reading)), "lines")
-    offsets = stage(block_offsets(lines, FILE_COLUMNS, BLOCK_COLUMNS), "blocks")
-    return number_lines(lines, offsets, FILE_COLUMNS, BLOCK_COLUMNS)
+    def __call__(self, facts: DataFrame) -> DataFrame:
+        wanted = stage(self._wanted(facts), "segments")
+        # Only names go to the driver, of the segments that a scan is about to open.
+        paths = [row.path for row in wanted.where("not shut").select("path").toLocalIterator()]
+        scanned = scan_landed(self.spark, self.root, paths, self.encoding)
+        lines = stage(slim_lines(scanned), "lines")
+        before = wanted.where("shut").groupBy(*FILE_COLUMNS).agg(F.sum("lines").alias("before"))
+        offsets = block_offsets(lines, FILE_COLUMNS, BLOCK_COLUMNS).join(
+            before, FILE_COLUMNS, "left"
+        )
+        shift = F.col("_shift") + F.coalesce("before", F.lit(0))
+        offsets = stage(offsets.withColumn("_shift", shift).drop("before"), "blocks")
+        counts = lines.groupBy(*FILE_COLUMNS, "segment").agg(F.count(F.lit(1)).alias("lines"))
+        opened = wanted.where("not shut").drop("lines", "shut", "start_line", "path")
+        self.counted = opened.join(counts, [*FILE_COLUMNS, "segment"])
+        return number_lines(lines, offsets, FILE_COLUMNS, BLOCK_COLUMNS)
 
 
 def collect_run(
@@ -85,7 +159,9 @@ def collect_run(
         settle_runs(runs, sizes, history, exclude, collect_date, init_limit), "facts"
     )
     tail = tail_lines(read_lines(facts), facts)
-    outcomes = run_outcomes(facts, read_totals(tail), part_limit)
+    # One row per run, written: the lines are scanned once for totals and once for records.
+    totals = stage(read_totals(tail), "totals")
+    outcomes = run_outcomes(facts, totals, part_limit)
     outcomes = stage(with_id_ranges(outcomes, ids_issued), "outcomes")
     good = outcomes.where(F.col("collect_status") == m.SUCCESS).select(
         "run_key", "server_ip", "schedule_type", "run_id",
@@ -146,7 +222,6 @@ def run_job(
     sizes: DataFrame,
     run_id: str | None = None,
     clock: Callable[[], dt.datetime] = dt.datetime.now,
-    keeps_position: bool | None = None,
     attempt: int = 0,
     **options,
 ) -> None:
@@ -164,8 +239,7 @@ def run_job(
         closed = events.where(own & (F.col("stage") == CLOSE)).select("run_key")
         top = events.agg(F.max("collect_history_id"), F.sum("issued_ids")).first()
         runs = prepare_runs(due, run_ts, run_id).join(closed, "run_key", "left_anti")
-        if keeps_position is not None:
-            runs = runs.withColumn("keeps_position", F.lit(keeps_position))
+        runs = not_taken(runs, events, run_ts, run_id)
         runs = stage_numbered(runs, "runs", "collect_history_id", top[0] or 0, small=True)
         # Partitions of this job are about to be replaced and must not be read any more.
         done = events.where(~own & (F.col("collect_status") == m.SUCCESS))
@@ -187,24 +261,34 @@ def run_job(
         write_table(found.logs, store, "collect_log")
         write_table(found.rejects, store, "collect_reject")
         write_table(exclusions, store, "collect_exclude")
+        counted = getattr(read_lines, "counted", None)
+        if counted is not None:
+            marked_day = F.lit(f"{run_ts:%Y%m%d}").alias("collect_date")
+            counted = counted.select("*", marked_day, F.lit(run_id).alias("run_id"))
+            write_table(counted, store, "segments")
         closing = closing_events(found.outcomes, run_ts, clock(), attempt)
         write_table(closing, store, "history_events")
 
 
 def collect_landed(
-    spark: SparkSession, store: str, landed: str, due: DataFrame, run_ts: dt.datetime, **options
+    spark: SparkSession,
+    store: str,
+    landed: str,
+    due: DataFrame,
+    run_ts: dt.datetime,
+    encoding: str = "UTF-8",
+    sizes: DataFrame | None = None,
+    **options,
 ) -> None:
     """Collect due runs from landed files; `sizes` may be given, else the listing is used."""
-    sizes = options.pop("sizes", None)
-    run_job(
-        spark, store, due, run_ts,
-        lambda facts: numbered_landed(spark, landed, facts),
-        file_sizes(spark, landed) if sizes is None else sizes,
-        **options,
-    )
+    create_store(spark, store)
+    # Rows of any job will do: they are matched by name, length and time of the segment.
+    reader = LandedReader(spark, landed, read_table(spark, store, "segments"), encoding)
+    sizes = file_sizes(spark, landed) if sizes is None else sizes
+    run_job(spark, store, due, run_ts, reader, sizes, **options)
 
 
 def collect_history(spark: SparkSession, store: str) -> DataFrame:
     """One row per run, as the last event left it."""
     events = read_table(spark, store, "history_events")
-    return fold_history(events.drop("run_id", "stage", "issued_ids"))
+    return fold_history(events.drop("run_id", "stage", "issued_ids", *TAKEN_COLUMNS))

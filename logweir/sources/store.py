@@ -17,6 +17,7 @@ TABLES = {
     "collect_log": (m.COLLECT_LOG, ["collect_date", "run_id"]),
     "collect_reject": (m.COLLECT_REJECT, ["collect_date", "run_id"]),
     "collect_exclude": (m.COLLECT_EXCLUDE, ["exclude_date", "run_id"]),
+    "segments": (m.SEGMENTS, ["collect_date", "run_id"]),
     "history_events": (m.HISTORY_EVENTS, ["collect_date", "run_id", "stage"]),
 }
 

@@ -1,13 +1,21 @@
-"""Periodic collection as a stream of landed segments.
+"""Collection whenever something has landed, as a stream of arrived segments.
 
-Spark's file stream takes each file once, so it reads immutable segments: the lander cuts a
-growing log file into pieces and lands each piece under a new name (see `sources.lines`). Line
-numbers go on where the history says the file was left; the history table is the only state. A
-batch that is replayed after a crash has the same id and replaces or skips what it had written.
-No watermark: records are taken whatever their time.
+The stream only notes which files have new segments; the job then reads the landed files by their
+history, as a scheduled job does. A file over a limit or excluded therefore loses nothing: it
+stays where it landed and is read after its restore. Segments are immutable and land under new
+names (see `sources.lines`), and those read to their end are not opened again.
+
+A file belongs to every periodic schedule whose template can stand for it on any date, so that a
+segment which arrives after midnight still finds its schedule. A file that no schedule names is
+recorded as failed, for that reason.
+
+Runs are named after the query's id in its checkpoint and the number of the batch: a replayed
+batch meets its own runs, with the time of its first try, and a new checkpoint meets none. No
+watermark: records are taken whatever their time.
 """
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +23,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir import model as m
-from logweir.operators.numbering import block_offsets, number_lines
-from logweir.operators.runs import FILE_COLUMNS, resolve_paths, slim_lines
-from logweir.plans.collect import run_job
-from logweir.sources.lines import BLOCK_COLUMNS, LANDED, with_places
-from logweir.sources.staging import stage
+from logweir.functions.paths import resolved_path
+from logweir.operators.exclusions import active_exclusions
+from logweir.operators.runs import FILE_COLUMNS
+from logweir.operators.schedules import SCHEDULE_COLUMNS
+from logweir.plans.collect import collect_landed
+from logweir.sources.lines import LISTING
+from logweir.sources.staging import job_folder, stage
+from logweir.sources.store import CLOSE, OPEN, create_store, read_table
 
 
 def segment_stream(spark: SparkSession, landed: str) -> DataFrame:
-    raw = spark.readStream.schema(LANDED).text(landed)
-    return raw.select("*", "_metadata")
+    """FILE_COLUMNS of every segment that arrives; no segment is opened."""
+    return spark.readStream.format("binaryFile").schema(LISTING).load(landed).select(*FILE_COLUMNS)
 
 
 def collect_stream(
@@ -34,18 +45,23 @@ def collect_stream(
     schedules: DataFrame,
     checkpoint: str,
     clock: Callable[[], dt.datetime] = dt.datetime.now,
+    options: dict | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Start the stream; files without a periodic schedule are left out.
-
-    `trigger` goes to the stream's trigger and is `availableNow=True` unless given.
-    """
+    """Start the stream. `options` go to `collect_landed`, `trigger` to the stream's trigger,
+    which is `availableNow=True` unless given."""
     periodic = schedules.where(F.col("schedule_type") == m.PERIODIC)
 
     def collect_batch(batch: DataFrame, batch_id: int) -> None:
-        run_ts = clock()
-        lines = stage(slim_lines(with_places(batch)), "segments")
-        _collect_segments(spark, store, periodic, lines, run_ts, f"batch-{batch_id}", clock)
+        run_id = f"{_query_id(spark, checkpoint)}-{batch_id}"
+        create_store(spark, store)
+        run_ts = _first_try(spark, store, run_id) or clock()
+        with job_folder(spark):
+            files = batch.distinct().unionByName(_restored(spark, store)).distinct()
+            due = stage(files_due(stage(files, "files"), periodic), "due")
+            collect_landed(
+                spark, store, landed, due, run_ts, run_id=run_id, clock=clock, **(options or {})
+            )
 
     return (
         segment_stream(spark, landed)
@@ -56,27 +72,56 @@ def collect_stream(
     )
 
 
-def _collect_segments(spark, store, periodic, lines, run_ts, run_id, clock) -> None:
-    offsets = stage(block_offsets(lines, FILE_COLUMNS, BLOCK_COLUMNS), "blocks")
-    sizes = lines.groupBy(*FILE_COLUMNS).agg(F.sum("line_bytes").alias("file_size_bytes"))
-    sizes = stage(sizes, "sizes")
-    paths = resolve_paths(periodic, f"{run_ts:%Y%m%d}")
-    due = (
-        paths.join(sizes, FILE_COLUMNS, "left_semi")
-        .drop("source_file_path")
-        .withColumnRenamed("path_template", "source_file_path")
+def files_due(files: DataFrame, schedules: DataFrame) -> DataFrame:
+    """One row per file and schedule that names it on some date, with `landed_path`.
+
+    Files without a schedule keep one row, without type and expression.
+    """
+    # Equal for a template and all paths it stands for, whatever digits stand beside the date.
+    def shape(path):
+        return F.regexp_replace(path, rf"(\d|{m.DATE_PLACEHOLDER})+", "#")
+
+    bare = resolved_path(F.col("source_file_path"), F.lit(m.DATE_PLACEHOLDER))
+    named = schedules.select(*SCHEDULE_COLUMNS, "schedule_type", shape(bare).alias("shape"))
+    landed = files.select(
+        F.col("server_id"), F.col("source_file_path").alias("landed_path"),
+        shape(F.col("source_file_path")).alias("shape"),
+    )
+    dates = F.concat(
+        F.array(F.lit("")), F.regexp_extract_all("landed_path", F.lit(r"(?=(\d{8}))"), F.lit(1))
+    )
+    fits = F.exists(
+        dates, lambda d: resolved_path(F.col("source_file_path"), d) == F.col("landed_path")
+    )
+    matched = landed.join(named, ["server_id", "shape"]).where(fits).drop("shape")
+    unnamed = (
+        landed.join(matched, ["server_id", "landed_path"], "left_anti")
+        .drop("shape")
+        .withColumn("source_file_path", F.col("landed_path"))
+    )
+    return matched.unionByName(unnamed, allowMissingColumns=True)
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in the checkpoint for as long as that lives."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+
+
+def _first_try(spark: SparkSession, store: str, run_id: str) -> dt.datetime | None:
+    """The time of a batch that had begun before, from its opening rows."""
+    opened = read_table(spark, store, "history_events").where(
+        (F.col("run_id") == run_id) & (F.col("stage") == OPEN)
     )
+    return opened.agg(F.min("created_at")).first()[0]
+
 
-    def read_lines(facts: DataFrame) -> DataFrame:
-        numbered = number_lines(lines, offsets, FILE_COLUMNS, BLOCK_COLUMNS)
-        starts = facts.select(*FILE_COLUMNS, "start_line").distinct()
-        return (
-            numbered.join(starts, FILE_COLUMNS)
-            .withColumn("line_number", F.col("line_number") + F.col("start_line") - 1)
-            .drop("start_line")
-        )
-
-    run_job(
-        spark, store, due, run_ts, read_lines, sizes,
-        run_id=run_id, clock=clock, keeps_position=True,
+def _restored(spark: SparkSession, store: str) -> DataFrame:
+    """Files whose newest run was skipped and which no exclusion blocks any more."""
+    events = read_table(spark, store, "history_events").where(F.col("stage") == CLOSE)
+    ended = events.where(F.col("collect_start_at").isNotNull())
+    newest = ended.groupBy(*FILE_COLUMNS).agg(
+        F.max_by("collect_status", F.struct("collect_start_at", "collect_history_id")).alias("s")
     )
+    blocked = active_exclusions(read_table(spark, store, "collect_exclude"))
+    skipped = newest.where(F.col("s") == m.SKIP).select(*FILE_COLUMNS)
+    return skipped.join(blocked, FILE_COLUMNS, "left_anti")

@@ -184,3 +184,97 @@ def test_due_runs_feed_the_job(spark, tmp_path):
     )
     due = due_runs(rows, dt.datetime(2026, 6, 12, 9, 0, 1))
     assert {r.source_file_path for r in due.collect()} == {"/a.log", "/b.log"}
+
+
+def test_runs_are_unique_and_taken_once(spark, tmp_path):
+    landed, store = tmp_path / "landed", str(tmp_path / "store")
+    land(landed, "s", "/a.log", (number(1) + number(2)).encode())
+    land(landed, "s", "/b.log", number(3).encode())
+    line = "[s][ip][/a.log][배치|*|090000]"
+    rows = schedules(spark, line, line, "[s][ip][/b.log][주기|*|080000|60|200000]", line)
+    for second in (0, 1):
+        ts = dt.datetime(2026, 6, 12, 9, 0, second)
+        collect_landed(spark, store, str(landed), due_runs(rows, ts), ts)
+    logs = read_logs(spark, store).collect()
+    assert sorted((r.source_file_path, r.line_number) for r in logs) == [
+        ("/a.log", 1), ("/a.log", 2), ("/b.log", 1)
+    ]
+    assert len({r.collect_log_id for r in logs}) == 3
+    assert sorted(r.collected_count for r in collect_history(spark, store).collect()) == [1, 2]
+    # The next index and the next day are other runs.
+    for ts in (dt.datetime(2026, 6, 12, 10, 0, 0), dt.datetime(2026, 6, 13, 9, 0, 0)):
+        collect_landed(spark, store, str(landed), due_runs(rows, ts), ts)
+    assert collect_history(spark, store).count() == 5
+
+
+def test_segments_read_to_their_end_stay_shut(spark, tmp_path, monkeypatch):
+    from logweir.plans import collect as plan
+
+    landed, store = tmp_path / "landed", str(tmp_path / "store")
+    opened = []
+    scan = plan.scan_landed
+
+    def noting(spark, root, segments=None, encoding="UTF-8"):
+        opened.append(sorted(s.rsplit("/", 2)[-1] for s in segments))
+        return scan(spark, root, segments, encoding)
+
+    monkeypatch.setattr(plan, "scan_landed", noting)
+    due = schedules(spark, "[s][ip][/a.log+][주기|*|080000|1|235959]")
+    times = iter(dt.datetime(2026, 6, 12, 9) + dt.timedelta(hours=h) for h in range(9))
+
+    def run(**options):
+        collect_landed(spark, store, str(landed), due, next(times), **options)
+        return sorted((r.line_number, int(r.log_value)) for r in read_logs(spark, store).collect())
+
+    land(landed, "s", "/a.log", (number(1) + "plain\n").encode(), "1.log")
+    land(landed, "s", "/a.log", number(2).encode(), "2.log")
+    assert run() == [(1, 1), (3, 2)]
+    assert run() == [(1, 1), (3, 2)]  # nothing new
+    land(landed, "s", "/a.log", (number(3) + number(4)).encode(), "[3] {x}.log")
+    assert run() == [(1, 1), (3, 2), (4, 3), (5, 4)]
+    land(landed, "s", "/a.log", (number(3) + number(4) + number(5)).encode(), "[3] {x}.log")
+    assert run() == [(1, 1), (3, 2), (4, 3), (5, 4), (6, 5)]  # grown: opened again
+    assert opened == [["1.log", "2.log"], [], ["[3] {x}.log"], ["[3] {x}.log"]]
+
+
+def test_empty_files_and_charsets(spark, tmp_path):
+    landed, store = tmp_path / "landed", str(tmp_path / "store")
+    land(landed, "s 1", "/a+b%.log", b"")
+    text = RECORD.format(type="정보", id="N", content="홈디스크 가나다", tail="")
+    land(landed, "s 1", "/k.log", text.encode("euc-kr"))
+    due = schedules(
+        spark, "[s 1][ip][/a+b%.log][배치|*|090000]", "[s 1][ip][/k.log][배치|*|090000]"
+    )
+    before = spark.conf.get("spark.sql.legacy.javaCharsets")
+    for hour, name in enumerate(("EUC-KR", "MS949")):
+        ts = dt.datetime(2026, 6, 12, 9 + hour)
+        collect_landed(spark, f"{store}{hour}", str(landed), due, ts, encoding=name)
+        found = {r.source_file_path: r for r in collect_history(spark, f"{store}{hour}").collect()}
+        empty = found["/a+b%.log"]
+        assert (empty.collect_status, empty.collected_count, empty.file_size_bytes) == ("SUCCESS", 0, 0)
+        (row,) = read_logs(spark, f"{store}{hour}").collect()
+        assert (row.log_type, row.log_content) == ("정보", "홈디스크 가나다")
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == before
+    import pytest
+
+    for name in ("no-such-charset", "UTF-16"):
+        with pytest.raises(ValueError):
+            collect_landed(spark, f"{store}x", str(landed), due, ts, encoding=name)
+
+
+def test_lookup_is_whole_and_ordered(spark, tmp_path):
+    import pytest
+
+    store = str(tmp_path / "store")
+    land(tmp_path / "landed", "s", "/a.log", (number(1) + number("1e-20")).encode())
+    due = schedules(spark, "[s][ip][/a.log][배치|*|090000]", "[s][ip][/a.log][주기|*|080000|1|235959]")
+    collect_landed(spark, store, str(tmp_path / "landed"), due, dt.datetime(2026, 6, 12, 9))
+    logs = read_logs(spark, store)
+    found = find_logs(logs, "20260612", "s", "수치")
+    assert len(found.columns) == 16
+    rows = found.collect()
+    assert [r.line_number for r in rows] == [1, 1, 2, 2]
+    assert [r.collect_log_id for r in rows[:2]] == sorted(r.collect_log_id for r in rows[:2])
+    assert {r.log_value_text for r in rows} == {"1", "1e-20"}
+    with pytest.raises(ValueError):
+        find_logs(logs.drop("raw_log"), "20260612", "s", "수치")

@@ -3,13 +3,11 @@
 import os
 
 import pytest
-from landing import land
 from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
 from logweir import model as m
-from logweir.operators.numbering import numbered
-from logweir.sources.lines import BLOCK_COLUMNS, FILE_COLUMNS, scan_landed
+from logweir.operators.runs import tail_lines
 from logweir.sources.staging import stage
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "normalize_lines", "normalize_documents", "reject_counts", "line_number_blocks",
     "last_line_date_reset", "history_fold", "exclude_anti_join", "schedule_calendar", "due_at",
-    "analyze_lookup", "collect_end_to_end",
+    "collect_end_to_end",
 ]
 
 
@@ -41,30 +39,6 @@ def test_no_shuffle(spark, name):
     assert "Exchange" not in plan(QUERIES[name](spark, SF))
 
 
-def test_only_files_of_runs_are_opened(spark, tmp_path, monkeypatch):
-    for server in ("a", "b", "c"):
-        land(tmp_path, server, "/x.log", b"line\nnext\n")
-    facts = spark.createDataFrame(
-        [("a", "/x.log", m.READING), ("b", "/x.log", m.SKIP)],
-        "server_id string, source_file_path string, collect_status string",
-    )
-    reading = stage(facts, "facts").where(F.col("collect_status") == m.READING)
-    reading = reading.select(*FILE_COLUMNS).distinct()
-    lines = scan_landed(spark, str(tmp_path), reading)
-    assert "dynamicpruning" in plan(lines)
-    assert [r.server_id for r in lines.collect()] == ["a", "a"]
-    # A list that is too long to broadcast gives the same lines and numbers.
-    from logweir.sources import lines as source
-
-    monkeypatch.setattr(source, "FILE_LIST_BYTES", 0)
-    late = scan_landed(spark, str(tmp_path), reading)
-    assert "dynamicpruning" not in plan(late)
-    rows = [
-        numbered(stage(df, "t"), FILE_COLUMNS, BLOCK_COLUMNS).collect() for df in (lines, late)
-    ]
-    assert rows[0] == rows[1] and [r.line_number for r in rows[0]] == [1, 2]
-
-
 def test_large_run_tables_are_not_broadcast(spark, tmp_path):
     """Beyond the threshold the staged side is shuffled, with the same result."""
     runs = stage(spark.range(2000).selectExpr("id", "id % 7 AS k"), "runs")
@@ -77,3 +51,34 @@ def test_large_run_tables_are_not_broadcast(spark, tmp_path):
         assert joined.count() == 5000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_file_is_split_in_the_join_with_the_runs(spark):
+    """A third of all lines in one file, and more runs than are broadcast."""
+    facts = spark.range(3000).selectExpr(
+        "'s' AS server_id", "concat('/f', id) AS source_file_path", "concat('run', id) AS run_key",
+        "1L AS start_line", f"'{m.READING}' AS collect_status",
+    )
+    lines = spark.range(90_000).selectExpr(
+        "'s' AS server_id",
+        "concat('/f', CASE WHEN id % 3 = 0 THEN 7 ELSE id % 3000 END) AS source_file_path",
+        "id + 1 AS line_number", "repeat(md5(cast(id AS string)), 3) AS line",
+    )
+    facts, lines = stage(facts, "facts"), stage(lines, "lines")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "1k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.files.maxPartitionBytes": "256k",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        tail = tail_lines(lines, facts)
+        assert len(tail.collect()) == 90_000
+        assert "skew=true" in plan(tail)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
