@@ -19,6 +19,8 @@ shuffle_key are replaced. An empty table gives an empty result.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logweir.sources.staging import stage
+
 HEX_DIGITS = 13  # 52 bits, which a double holds exactly
 
 
@@ -92,7 +94,8 @@ def mixed(
 ) -> DataFrame:
     """The copies of `docs`, shuffled, with copy (from 1), rate and shuffle_key."""
     columns = [c for c in docs.columns if c not in ("copy", "rate", "shuffle_key")]
-    per_source = rates(docs, weights, budget, temperature, source_col, text_col)
+    # Written, so that Spark sees its size and broadcasts it if it is small.
+    per_source = stage(rates(docs, weights, budget, temperature, source_col, text_col), "rates")
     draw = _uniform(F.lit(seed), F.col(id_col)) / F.lit(float(1 << 4 * HEX_DIGITS))
     same = docs[source_col].eqNullSafe(F.col("_source"))
     return (
