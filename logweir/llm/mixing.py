@@ -51,9 +51,10 @@ def rates(
         sizes = sizes.join(given, F.col("_source").eqNullSafe(F.col("_name")), "left").select(
             "_source", "size", F.coalesce(F.col("weight").cast("double"), F.lit(0.0)).alias("weight")
         )
-    totals = sizes.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    share = F.coalesce(F.try_divide("weight", "all_weight"), F.lit(0.0))
-    rate = F.try_divide(share * budget * F.col("all_size"), F.col("size"))
+    sizes = stage(sizes, "sizes")
+    total, weight = sizes.agg(F.sum("size"), F.sum("weight")).first()
+    share = F.try_divide(F.col("weight"), F.lit(weight))
+    rate = F.try_divide(F.coalesce(share, F.lit(0.0)) * budget * F.lit(total), F.col("size"))
     last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 30).cast("int")
 
     def step(state: Column, k: Column) -> Column:
@@ -76,8 +77,7 @@ def rates(
         F.aggregate(F.sequence(F.lit(0), last), start, step, lambda state: state["cdf"])
     )
     return (
-        sizes.crossJoin(totals)  # one row with one row per source
-        .withColumn("rate", F.when(F.col("size") == 0, F.lit(1.0)).otherwise(F.round(rate, 9)))
+        sizes.withColumn("rate", F.when(F.col("size") == 0, F.lit(1.0)).otherwise(F.round(rate, 9)))
         .select("_source", "rate", cdf.alias("cdf"))
     )
 
