@@ -63,7 +63,8 @@ def records(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     keeper = large.groupBy("payload_digest").agg(
         F.max("page_id").alias("keeper"), F.count("*").alias("n")
     )
-    keeper = keeper.where("n > 1 and keeper is not null").drop("n")
+    # Written, so that its true size decides whether the payloads are shuffled for the join.
+    keeper = stage(keeper.where("n > 1 and keeper is not null").drop("n"), "keepers")
     is_revisit = F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     # Only large payloads can equal one that has a keeper.
     return (
