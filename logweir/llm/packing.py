@@ -31,17 +31,31 @@ from pyspark.sql import functions as F
 from logweir.llm.common import worker_state
 from logweir.sources.staging import stage
 
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 _SEPARATOR = "<|endoftext|>"
+# Marks that the tokenizer cuts off a letter before them (an apostrophe may belong to the word).
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The usual printable stand-ins of byte-level BPE: bytes that print stand for themselves."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 class WordTokenizer:
     """Ids, as little-endian 32-bit bytes, of texts by a tokenizer that drops white space.
 
-    Words between spaces or line feeds are encoded apart and remembered. The tokenizer never
-    joins across white space, so a text's ids are its words' ids in a row. A Latin-1 word is
-    looked up in lower case and without a last dot or comma after a letter, which the tokenizer
-    does the same way. New words go through the tokenizer together, with a special token between.
+    Words between spaces or line feeds are encoded apart and remembered, in a younger and an older
+    generation: frequent words stay when the younger one is full. The tokenizer never joins across
+    white space, so a text's ids are its words' ids in a row. It puts text in lower case and cuts
+    between a letter and the marks after it; for Latin-1 that is done before looking up, and words
+    of letters alone go straight to the tokenizer's model. Other new words go through the whole
+    tokenizer together, with a special token between.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,42 +63,59 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {"": b""}, self.known
         known = self.known
-        new = {w for w in words if w not in known}
-        if new:
-            if len(known) > CACHE_WORDS:
-                self.known = known = {"": b""}
-                new = set(words) - known.keys()
+        if new := set(words).difference(known):
+            for word in [w for w in new if w in self.older]:
+                known[word] = self.older[word]
+                new.discard(word)
             self._learn(new)
-        return b"".join([known[w] for w in words])
+        return b"".join(map(known.__getitem__, words))
 
     def _learn(self, words: set[str]) -> None:
-        parts, known = {}, self.known
+        known, older = self.known, self.older
+        parts, plain = [], []
         for word in words:
             core, tail = word, ""
-            if max(word) < "Ā" and "<|" not in word:
-                if word[-1] in ",." and word[-2:-1].isalpha():
-                    core, tail = word[:-1], word[-1]
-                core = core.lower()
-            parts[word] = core, tail
-        needed = {x for pair in parts.values() for x in pair if x not in known}
-        special = [x for x in needed if "<|" in x]
-        plain = sorted(needed.difference(special))
-        for word in special:
-            known[word] = self._ids(word).tobytes()
+            latin = word.isascii() or max(word) < "Ā"
+            if latin and "<|" not in word:
+                lower = word.lower()
+                core = lower.rstrip(_MARKS)
+                if core and core[-1].isalpha():
+                    tail = lower[len(core) :]
+                else:
+                    core = lower
+            parts.append((word, core, tail))
+            for piece in (core, tail):
+                if piece not in known:
+                    if piece in older:
+                        known[piece] = older[piece]
+                    elif latin and piece.isalpha():
+                        letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                        ids = [token.id for token in self.model.tokenize(letters)]
+                        known[piece] = array.array("I", ids).tobytes()
+                    else:
+                        known[piece] = b""
+                        plain.append(piece)
         for at in range(0, len(plain), 2000):
-            chunk = plain[at : at + 2000]
+            chunk = [piece for piece in plain[at : at + 2000] if "<|" not in piece]
             ids = self._ids(_SEPARATOR.join(chunk))
             cuts = np.flatnonzero(ids == self.separator)
-            for word, own in zip(chunk, np.split(ids, cuts)):
-                known[word] = own[own != self.separator].tobytes()
-        for word, (core, tail) in parts.items():
-            known[word] = known[core] + known[tail]
+            for piece, own in zip(chunk, np.split(ids, cuts)):
+                known[piece] = own[own != self.separator].tobytes()
+        for piece in plain:
+            if "<|" in piece:
+                known[piece] = self._ids(piece).tobytes()
+        for word, core, tail in parts:
+            known[word] = known[core] + known[tail] if tail else known[core]
 
     def _ids(self, text: str) -> np.ndarray:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -205,8 +236,11 @@ def _dominated(taken: tuple[int, ...], counts: Counter[int], room: int) -> bool:
     )
 
 
-def bin_completion(lengths: list[int], capacity: int, nodes: int = 200) -> list[list[int]]:
-    """Bins of lengths, by branch and bound around the largest length left."""
+def bin_completion(lengths: list[int], capacity: int, nodes: int = 100) -> list[list[int]]:
+    """Bins of lengths, by branch and bound around the largest length left.
+
+    `nodes` is the number of fillings that may be tried, each with a best-fit packing of the rest.
+    """
     lengths = sorted(lengths, reverse=True)
     best = best_fit(lengths, capacity)
     total = sum(lengths)
@@ -214,7 +248,6 @@ def bin_completion(lengths: list[int], capacity: int, nodes: int = 200) -> list[
     least = max(-(-total // capacity), sum(size > capacity / 2 for size in lengths))
     stack: list[tuple[list[list[int]], list[int], int]] = [([], lengths, 0)]
     while stack and nodes > 0 and len(best) > least:
-        nodes -= 1
         bins, rest, wasted = stack.pop()
         allowed = (len(best) - 1) * capacity - total - wasted
         if allowed < 0 or not rest:
@@ -223,6 +256,7 @@ def bin_completion(lengths: list[int], capacity: int, nodes: int = 200) -> list[
         room = capacity - largest
         branches = []
         for filling in fillings([s for s in others if s <= room], room, allowed, 2000):
+            nodes -= 1
             left = list(others)
             for size in filling:
                 left.remove(size)
@@ -231,7 +265,7 @@ def bin_completion(lengths: list[int], capacity: int, nodes: int = 200) -> list[
             if len(whole) < len(best):
                 best = whole
             branches.append((branch, left, wasted + room - sum(filling)))
-            if len(best) == least:
+            if len(best) == least or nodes <= 0:
                 break
         stack.extend(reversed(branches))
     return best
@@ -274,7 +308,7 @@ def _by_group(pieces: DataFrame, groups: int, capacity: int, nodes: int) -> Data
 
 
 def packed(
-    pieces: DataFrame, capacity: int = 4096, group_size: int = 8192, nodes: int = 200
+    pieces: DataFrame, capacity: int = 4096, group_size: int = 8192, nodes: int = 100
 ) -> DataFrame:
     """`pieces` of `tokenized` with sequence_id and offset."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
