@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.llm.common import binary_column, components
 from logweir.sources.staging import stage
@@ -232,7 +233,7 @@ def simhash_dedup(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFra
     either = unclear.withColumnRenamed("doc_id", "keep")
     again = docs.join(either, own, "left_semi")
     again = again.withColumn("_bytes", F.col("text").cast("binary"))
-    schema = again.drop("_bytes").schema.add("_fp", "bigint")
+    schema = again.drop("_bytes").schema.add("_fp", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
