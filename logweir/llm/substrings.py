@@ -188,7 +188,9 @@ def remove_repeats(
     windows = stage(
         texts.mapInArrow(emit, "h bigint, doc_id bigint, key bigint, place int"), "windows"
     )
-    first = windows.groupBy("h").agg(F.min("doc_id").alias("first"))
+    # Written, so that the join reads two plain shuffles, in which AQE can split a hot hash.
+    first = windows.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    first = stage(first.where("first < last").drop("last"), "first")
     repeated = (
         windows.join(first, "h")
         .where("doc_id > first")
