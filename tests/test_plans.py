@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
 from logweir import model as m
