@@ -4,10 +4,11 @@
 few sequences as it can. Pieces are dealt by hash into groups of about `group_size`, each a unit of
 work of bounded size. A group is solved by branch and bound: the incumbent is the best-fit
 decreasing packing; a node takes the largest piece left and tries its undominated fillings, the
-fullest first; a branch ends when its waste leaves no room for a better packing than the incumbent;
-each node's rest is packed best-fit as a new incumbent. Most groups end at the root, where best
-fit meets the lower bound. `nodes` limits the search of one group, not the packing, which is
-always complete. What groups leave in sequences that are not nearly full is dealt and packed once
+fullest first; a branch ends when its waste leaves no room for a better packing than the incumbent.
+The first branch gives every bin its fullest filling, down to the last, as a second incumbent; from
+there the search goes back up, and what a node's other filling leaves is packed best-fit as a new
+incumbent. Most groups end at the root, where best fit meets the lower bound. `nodes`, and twice
+the number of bins, limits the search of one group, not the packing, which is always complete. What groups leave in sequences that are not nearly full is dealt and packed once
 more, so that groups cost next to no sequences.
 
 Defined results: null and empty text is the end token alone. Repeated rows are packed each. Null
@@ -21,6 +22,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -189,85 +191,174 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(sizes: list[int], room: int, waste: int, steps: int) -> list[tuple[int, ...]]:
-    """Undominated sets of `sizes` (descending) that fill `room` but for at most `waste`.
+def least_bins(lengths: list[int], capacity: int) -> int:
+    """No packing has fewer bins: by the sum, and by how many pieces of a size a bin can hold.
 
-    A set is dominated if a piece left out could take the place of one piece of it or of several
-    and still fit: the exchange leaves smaller pieces over. The fullest come first.
+    For each k a piece of the share x counts as floor((k + 1) x) / k, or as x where (k + 1) x is
+    whole; what fits a bin never counts more than 1.
     """
-    found: set[tuple[int, ...]] = set()
-    total = [0]
-    for size in reversed(sizes):
-        total.append(total[-1] + size)
-    total.reverse()
-    stack: list[tuple[int, int, tuple[int, ...]]] = [(0, room, ())]
-    while stack and steps > 0 and len(found) < 64:
-        steps -= 1
-        at, left, taken = stack.pop()
-        while at < len(sizes) and sizes[at] > left:
-            at += 1
-        if left <= waste and (at == len(sizes) or left == 0):
-            found.add(taken)
-        if at == len(sizes) or left == 0 or left - total[at] > waste:
-            continue
-        skip = at
-        while skip < len(sizes) and sizes[skip] == sizes[at]:
-            skip += 1
-        stack.append((skip, left, taken))
-        stack.append((at + 1, left - sizes[at], (*taken, sizes[at])))
-    counts = Counter(sizes)
-    return sorted(
-        (f for f in found if not _dominated(f, counts, room)), key=lambda f: (-sum(f), len(f))
-    )
+    sizes = np.array(lengths, np.int64)
+    least = -(-int(sizes.sum()) // capacity)
+    for k in range(1, 33):
+        steps, rest = np.divmod((k + 1) * sizes, capacity)
+        least = max(least, -(-int(np.where(rest, steps * capacity, k * sizes).sum()) // (k * capacity)))
+    return least
+
 
+def _sets(
+    sizes: list[int], counts: Counter[int], room: int, waste: int
+) -> Iterator[tuple[int, ...]]:
+    """All sets of `sizes` (descending, each `counts` times) that fill `room` but for at most
+    `waste`, the fullest first; of equal sums first those whose smallest piece is large.
 
-def _dominated(taken: tuple[int, ...], counts: Counter[int], room: int) -> bool:
-    left = room - sum(taken)
+    The sums that the first sizes reach are bits of an integer, so that no step leads nowhere.
+    """
+    mask = (1 << room + 1) - 1
+    reach = [1]
+
+    def reached(end: int) -> int:
+        while len(reach) <= end:
+            size, sums, step = sizes[len(reach) - 1], reach[-1], 1
+            count = min(counts[size], room // size)
+            while count > 0:
+                step = min(step, count)
+                sums |= sums << step * size & mask
+                count -= step
+                step *= 2
+            reach.append(sums)
+        return reach[end]
+
+    def of(total: int, end: int) -> Iterator[tuple[int, ...]]:
+        if total == 0:
+            yield ()
+            return
+        for i in range(end):
+            size, before = sizes[i], reached(i)
+            for k in range(1, min(counts[size], total // size) + 1):
+                if before >> total - k * size & 1:
+                    for taken in of(total - k * size, i):
+                        yield (*taken, *[size] * k)
+
+    total = room
+    while total >= room - waste:
+        yield from of(total, len(sizes))
+        less = reached(len(sizes)) & (1 << total) - 1
+        if not less:
+            return
+        total = less.bit_length() - 1
+
+
+def _dominated(
+    taken: tuple[int, ...], sizes: list[int], counts: Counter[int], left: int
+) -> bool:
     used = Counter(taken)
-    rest = [size for size, count in counts.items() if count > used[size]]
-    sums = {0}
+    rest = 0
+    for size in sizes:
+        if counts[size] > used[size]:
+            rest |= 1 << size
+    sums = 1
     for size in taken:
-        if len(sums) > 256:
-            break
-        sums |= {s + size for s in sums}
-    sums.discard(0)
-    return any(size <= left for size in rest) or any(
-        s < size <= s + left for size in rest for s in sums
-    )
+        sums |= sums << size
+    # Every sum, 0 too, and 1 to `left` more.
+    larger, width = sums << 1, 1
+    while width < left:
+        step = min(width, left - width)
+        larger |= larger << step
+        width += step
+    return left > 0 and larger & rest != 0
+
+
+def fillings(sizes: list[int], room: int, waste: int, steps: int) -> list[tuple[int, ...]]:
+    """Undominated sets of `sizes` that fill `room` but for at most `waste`, of the first `steps`.
+
+    A set is dominated if a piece left out could take the place of one piece of it or of several
+    and still fit: the exchange leaves smaller pieces over. The fullest come first.
+    """
+    counts = Counter(size for size in sizes if size <= room)
+    ordered = sorted(counts, reverse=True)
+    looked_at = islice(_sets(ordered, counts, room, waste), steps)
+    return [f for f in looked_at if not _dominated(f, ordered, counts, room - sum(f))]
 
 
 def bin_completion(lengths: list[int], capacity: int, nodes: int = 100) -> list[list[int]]:
     """Bins of lengths, by branch and bound around the largest length left.
 
-    `nodes` is the number of fillings that may be tried, each with a best-fit packing of the rest.
+    The first branch goes down to the last bin. `nodes`, and twice the number of bins, is how many
+    fillings may be looked at.
     """
     lengths = sorted(lengths, reverse=True)
     best = best_fit(lengths, capacity)
     total = sum(lengths)
-    # Lengths above half of the capacity need a bin each.
-    least = max(-(-total // capacity), sum(size > capacity / 2 for size in lengths))
-    stack: list[tuple[list[list[int]], list[int], int]] = [([], lengths, 0)]
-    while stack and nodes > 0 and len(best) > least:
-        bins, rest, wasted = stack.pop()
-        allowed = (len(best) - 1) * capacity - total - wasted
-        if allowed < 0 or not rest:
-            continue
-        largest, others = rest[0], rest[1:]
-        room = capacity - largest
-        branches = []
-        for filling in fillings([s for s in others if s <= room], room, allowed, 2000):
-            nodes -= 1
-            left = list(others)
-            for size in filling:
-                left.remove(size)
-            branch = [*bins, [largest, *filling]]
-            whole = [*branch, *best_fit(left, capacity)]
+    if len(best) * capacity - total < capacity:
+        return best
+    least = least_bins(lengths, capacity)
+    tries = nodes + 2 * len(best)
+    left = Counter(lengths)
+    sizes = sorted(left, reverse=True)
+    # Largest piece, its filling, and the other fillings where they have been asked for.
+    path: list[tuple[int, tuple[int, ...], Iterator[tuple[int, ...]] | None]] = []
+    packed_, wasted = 0, 0
+
+    def choices(largest: int) -> Iterator[tuple[int, ...]]:
+        return _sets(others(largest), left, capacity - largest, slack())
+
+    def others(largest: int) -> list[int]:
+        return [size for size in sizes if size <= capacity - largest and left[size]]
+
+    def slack() -> int:
+        """What more may be wasted in a packing better than the best."""
+        return (len(best) - 1) * capacity - total - wasted
+
+    while len(best) > least and tries > 0:
+        # Down to the last bin, or to where no better packing is possible.
+        while packed_ < len(lengths) and slack() >= 0 and tries > 0:
+            largest = next(size for size in sizes if left[size])
+            left[largest] -= 1
+            filling = next(choices(largest), None)
+            if filling is None:
+                left[largest] += 1
+                break
+            left.subtract(filling)
+            path.append((largest, filling, None))
+            packed_ += 1 + len(filling)
+            wasted += capacity - largest - sum(filling)
+            tries -= 1
+        if packed_ == len(lengths) and len(path) < len(best):
+            best = [[size, *filling] for size, filling, _ in path]
+        # Up to the last bin that has another filling.
+        while path and len(best) > least and tries > 0:
+            largest, filling, more = path.pop()
+            left.update(filling)
+            packed_ -= 1 + len(filling)
+            wasted -= capacity - largest - sum(filling)
+            if more is None:
+                more = choices(largest)
+                next(more, None)
+            smaller = others(largest)
+            for filling in more:
+                tries -= 1
+                spare = capacity - largest - sum(filling)
+                if spare > slack() or tries <= 0:
+                    filling = None
+                    break
+                if not _dominated(filling, smaller, left, spare):
+                    break
+            else:
+                filling = None
+            if filling is None:
+                left[largest] += 1
+                continue
+            left.subtract(filling)
+            path.append((largest, filling, more))
+            packed_ += 1 + len(filling)
+            wasted += spare
+            rest = [size for size in sizes for _ in range(left[size])]
+            whole = [[size, *taken] for size, taken, _ in path] + best_fit(rest, capacity)
             if len(whole) < len(best):
                 best = whole
-            branches.append((branch, left, wasted + room - sum(filling)))
-            if len(best) == least or nodes <= 0:
-                break
-        stack.extend(reversed(branches))
+            break
+        else:
+            break
     return best
 
 

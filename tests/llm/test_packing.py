@@ -11,6 +11,7 @@ from logweir.llm.packing import (
     best_fit,
     bin_completion,
     fillings,
+    least_bins,
     packed,
     tokenized,
 )
@@ -53,6 +54,27 @@ def test_bin_completion_is_optimal_on_small_sets():
     assert better  # the search finds what best fit does not
 
 
+def test_bin_completion_fills_all_bins_of_a_large_group():
+    draw = random.Random(11)
+    for least, most, above in ((1250, 1450, 1.012), (800, 1700, 1.01), (600, 900, 1.01)):
+        lengths = [draw.randint(least, most) for _ in range(8192)]
+        bins = bin_completion(lengths, 4096)
+        assert sorted(x for b in bins for x in b) == sorted(lengths)
+        assert max(map(sum, bins)) <= 4096
+        assert len(bins) <= above * sum(lengths) / 4096
+        assert len(best_fit(sorted(lengths)[::-1], 4096)) > 1.04 * sum(lengths) / 4096
+        if least == 1250:
+            assert len(bins) == 2731  # no bin holds four pieces
+
+
+def test_no_packing_is_below_the_lower_bound():
+    draw = random.Random(12)
+    for _ in range(60):
+        lengths = [draw.randint(8, 60) for _ in range(draw.randint(1, 8))]
+        assert -(-sum(lengths) // 100) <= least_bins(lengths, 100) <= fewest_bins(lengths, 100)
+    assert least_bins([1300] * 8192, 4096) == 2731 and least_bins([51] * 7, 100) == 7
+
+
 def test_fillings_are_undominated_and_fullest_first():
     found = fillings([30, 20, 20, 10], 50, 50, 1000)
     assert found[0] in ((30, 20),)
