@@ -8,6 +8,7 @@ from logweir.llm.ann import nearest
 from logweir.llm.fingerprints import edited_fingerprints
 from logweir.llm.langid import identified
 from logweir.llm.packing import packed, tokenized
+from logweir.llm.personal_data import personal_data, span_digest
 from logweir.llm.quality import quality_scores
 from logweir.llm.secret_scan import findings
 from logweir.llm.simhash import simhash_components
@@ -58,6 +59,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings(_table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(personal_data(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_neighbours": op2_neighbours,
@@ -69,6 +74,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_personal_data": op11_personal_data,
 }
 
 _SUBSTRINGS_SQL = r"""

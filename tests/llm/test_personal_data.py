@@ -1,0 +1,152 @@
+import hashlib
+import random
+import re
+
+from rows import docs
+
+from logweir.llm.personal_data import (
+    automaton,
+    digest_of,
+    find_spans,
+    masked,
+    personal_data,
+    span_digest,
+)
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _luhn(digits):
+    doubled = [sum(divmod(int(d) * (2 if i % 2 else 1), 10)) for i, d in enumerate(digits[::-1])]
+    return sum(doubled) % 10 == 0
+
+
+def _keeps(kind, text):
+    digits = re.sub("[^0-9]", "", text)
+    if kind == "ip":
+        return all(int(part.lstrip("0")[:4] or 0) <= 255 for part in text.split("."))
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def brute_force(text):
+    """Base spans by the four patterns, as they are stated."""
+    return [
+        (kind, m.start(), m.end())
+        for kind, pattern in PATTERNS.items()
+        for m in re.finditer(pattern, text)
+        if _keeps(kind, m.group())
+    ]
+
+
+def _base(text, anchors):
+    return [s[:3] for s in find_spans(text, anchors) if s[3]]
+
+
+def _added(text):
+    return [(s[0], text[s[1] : s[2]]) for s in find_spans(text, automaton()) if not s[3]]
+
+
+def test_base_spans_equal_the_patterns_on_random_texts():
+    anchors, draw = automaton(), random.Random(3)
+    pieces = [
+        "@", "@@", ".", "..", "-", " ", "  ", "+", "(", ")", "a", "Zz", "é", "٣", "0", "7", "255",
+        "256", "1.2.3.4", "1.2.3", "4111 1111 1111 1111", "4111-1111-1111-1111", "x@y.zz", "tel:",
+        "mailto:", "http://u:p@h/", "IBAN ", "+49 30 1234567", "000255", "_", "%", "\n", "\t", "𝒳",
+        "123-45-6789", "4465758382889437 4465758382889437", "account no: 12345678",
+    ]
+    for _ in range(6000):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randrange(1, 14)))
+        assert _base(text, anchors) == brute_force(text), text
+    letters = "01.+ -()@a2"
+    for _ in range(20000):
+        text = "".join(draw.choice(letters) for _ in range(draw.randrange(1, 30)))
+        assert _base(text, anchors) == brute_force(text), text
+
+
+def test_spans_of_a_kind_never_overlap_and_base_spans_stay():
+    anchors, draw = automaton(), random.Random(4)
+    pieces = ["tel: ", "+1 ", "(663) 555-6869", "663-555-6869", "4465758382889437 ", "phone ",
+              "account ", "12345678", " ", "sip:a@b", "mailto:a@b.c", "ssn 123456789", "ftp://a:b@c.d",
+              "https://[::1]/", "IBAN DE89 3704 0044 0532 0130 00", "."]
+    for _ in range(3000):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randrange(1, 10)))
+        spans = find_spans(text, anchors)
+        assert [s[:3] for s in spans if s[3]] == brute_force(text)
+        for a, b in zip(spans, spans[1:]):
+            assert a[0] != b[0] or a[2] <= b[1]
+
+
+def test_added_spans():
+    assert _added("call (663) 555-6869 now") == [("phone", "(663) 555-6869")]
+    assert _added("4465758382889437 4465758382889437") == [("card", "4465758382889437")] * 2
+    assert _added("IBAN: DE89 3704 0044 0532 0130 00 and so on") == [
+        ("account", "DE89 3704 0044 0532 0130 00")
+    ]
+    assert _added("IBAN: DE88 3704 0044 0532 0130 00") == []
+    assert _added("Account no: 12-345-678.") == [("account", "12-345-678")]
+    assert _added("SSN 123-45-6789") == [("account", "123-45-6789")]
+    assert _added("666-45-6789, 123-00-6789") == []
+    assert _added("tel:5551234567") == [("phone", "5551234567")]
+    assert _added("sip:alice@pbx") == [("email", "alice@pbx")]
+    assert _added("ftp://joe:pw@host.org/x") == [("url", "ftp://joe:pw@host.org")]
+    assert _added("see https://[2001:db8::1]/") == [("ip", "2001:db8::1")]
+
+
+def test_clean_text_is_left_alone():
+    clean = [
+        "In 1999 about 3.14 of 1,000 people, 12-14 a day.", "https://example.org/a?b=c#d",
+        "accountable to mobile 5 users; tell 1234567", "v1.2.3 @ home", "2024-01-31 10:20:30.123",
+        "Kontinent 12345678", "a + b = 12 (see 34)", "",
+    ]
+    assert [find_spans(text, automaton()) for text in clean] == [[]] * len(clean)
+
+
+def test_rows_and_special_values(spark):
+    rows = [
+        (1, "x@y.zz and +49 30 1234567"), (2, None), (3, ""), (None, "1.2.3.4"), (None, "1.2.3.4"),
+        (1, "x@y.zz and +49 30 1234567"), (4, "é𝒳 a.b@c.de " + "9" * 5000 + ".1.2.3"),
+    ]
+    got = span_digest(personal_data(docs(spark, rows, clashes=True)))
+    assert got.columns == [
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans",
+    ]
+    want = []
+    for doc_id, text in rows:
+        spans = brute_force(text or "")
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        counts = [sum(k == kind for k, _, _ in spans) for kind in PATTERNS]
+        want.append((doc_id, *counts, hashlib.sha256(joined.encode()).hexdigest(), joined))
+    key = lambda r: (r[0] or -1, r[-1])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    spans = find_spans("x@y.zz", automaton())
+    assert digest_of(spans) == hashlib.sha256(b"email:0:6").hexdigest()
+
+
+def test_empty_table(spark):
+    assert span_digest(personal_data(docs(spark, []))).collect() == []
+
+
+def test_masked(spark):
+    table = docs(spark, [(1, "to x@y.zz or tel:5551234567!"), (2, None), (3, "clean")], clashes=True)
+    got = masked(table, personal_data(table))
+    assert got.columns == table.columns
+    texts = {r.doc_id: r.text for r in got.collect()}
+    assert texts == {1: "to [EMAIL] or tel:[PHONE]!", 2: None, 3: "clean"}
+
+
+def test_long_texts_are_linear():
+    import time
+
+    anchors = automaton()
+    parts = ["a@", "1.", "1 ", "+1 ((", "(", "tel: ", "://", "12-", "iban de12 "]
+    for part in parts:
+        start = time.perf_counter()
+        find_spans(part * (400_000 // len(part)), anchors)
+        assert time.perf_counter() - start < 8, part
