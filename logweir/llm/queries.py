@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import mixing, warc
+from logweir.llm import mixing, prefix_trie, warc
 from logweir.llm.ann import nearest
 from logweir.llm.fingerprints import edited_fingerprints
 from logweir.llm.langid import identified
@@ -63,6 +63,10 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(personal_data(_table(spark, sf_dir, "documents")))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_neighbours": op2_neighbours,
@@ -75,6 +79,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
     "op11_personal_data": op11_personal_data,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 _SUBSTRINGS_SQL = r"""
@@ -95,7 +100,7 @@ WITH texts AS (
 ), kept AS (
   SELECT t.doc_id, len(t.words) AS n_words, coalesce(len(r.places), 0) AS n_removed,
          CASE WHEN r.places IS NULL THEN t.words
-              ELSE list_filter(t.words, (w, i) -> NOT list_contains(r.places, i - 1)) END AS words
+              ELSE list_filter(t.words, lambda w, i: NOT list_contains(r.places, i - 1)) END AS words
   FROM texts t LEFT JOIN removed r USING (doc_id)
 )
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(words, ' ')) AS kept_sha256 FROM kept
@@ -106,4 +111,5 @@ ORACLE: dict[str, str] = {
     "op5_warc": warc.ORACLE_SQL,
     "op6_substrings": _SUBSTRINGS_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
+    "op12_prefix_trie": prefix_trie.ORACLE_SQL,
 }
