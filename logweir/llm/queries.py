@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import mixing, prefix_trie, warc
+from logweir.llm import hard_negatives, mixing, prefix_trie, warc
 from logweir.llm.ann import nearest
 from logweir.llm.fingerprints import edited_fingerprints
 from logweir.llm.langid import identified
@@ -67,6 +67,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hard_negatives.shifted(_table(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_neighbours": op2_neighbours,
@@ -80,6 +85,7 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_personal_data": op11_personal_data,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _SUBSTRINGS_SQL = r"""
@@ -112,4 +118,5 @@ ORACLE: dict[str, str] = {
     "op6_substrings": _SUBSTRINGS_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
     "op12_prefix_trie": prefix_trie.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
