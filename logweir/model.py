@@ -20,6 +20,7 @@ SUCCESS = "SUCCESS"
 FAIL = "FAIL"
 SKIP = "SKIP"
 READING = "READING"  # ours, never stored: the run goes on to read its file
+BEHIND = "BEHIND"  # ours, never stored: another run of the job reads the file
 
 IN_PROGRESS = "IN_PROGRESS"
 EXCLUDED = "EXCLUDED"

@@ -76,6 +76,24 @@ def settle_runs(
     )
 
 
+def one_reader(facts: DataFrame) -> DataFrame:
+    """Let one run read each file; other runs of the file become BEHIND, with its `reader_key`.
+
+    Schedules that name one file may be due together. A batch run reads before a periodic one, as
+    it reads the whole file, then that which starts first, then the first by key.
+    """
+    reading = F.col("collect_status") == m.READING
+    order = F.struct(F.col("schedule_type") != m.BATCH, "start_line", "run_key")
+    readers = facts.where(reading).groupBy(*FILE_COLUMNS).agg(F.min(order).alias("_first"))
+    readers = readers.select(*FILE_COLUMNS, F.col("_first.run_key").alias("_reader"))
+    behind = reading & (F.col("_reader") != F.col("run_key"))
+    return facts.join(readers, FILE_COLUMNS, "left").select(
+        *[c for c in facts.columns if c != "collect_status"],
+        F.when(behind, m.BEHIND).otherwise(F.col("collect_status")).alias("collect_status"),
+        F.when(behind, F.col("_reader")).alias("reader_key"),
+    )
+
+
 def slim_lines(lines: DataFrame) -> DataFrame:
     """Add `line_bytes` and blank out plain lines, of which only number and length matter."""
     line = F.col("line")
@@ -133,6 +151,34 @@ def run_outcomes(
     )
 
 
+def follow_readers(outcomes: DataFrame) -> DataFrame:
+    """Settle the runs BEHIND another: they go on at its last line and find nothing there.
+
+    Where that run went over its limit, the file is excluded for them.
+    """
+    readers = outcomes.where(F.col("collect_status") != m.BEHIND).select(
+        F.col("run_key").alias("reader_key"),
+        (F.col("collect_status") == m.SUCCESS).alias("_read"),
+        F.col("last_line_number").alias("_last"),
+    )
+    behind = F.col("collect_status") == m.BEHIND
+    read = behind & F.col("_read")
+    settled = {
+        "start_line": F.when(read, F.col("_last") + 1),
+        "last_line_number": F.when(read, F.col("_last")),
+        "file_size_bytes": F.when(read, F.col("file_size_bytes")),
+        "collect_status": F.when(read, m.SUCCESS).otherwise(m.SKIP),
+        "fail_reason": F.when(read, "").otherwise(m.EXCLUDED),
+    }
+    return outcomes.join(readers, "reader_key", "left").select(
+        *[
+            F.when(behind, settled[c]).otherwise(F.col(c)).alias(c) if c in settled else c
+            for c in outcomes.columns
+            if c != "reader_key"
+        ]
+    )
+
+
 def with_id_ranges(outcomes: DataFrame, after: int = 0) -> DataFrame:
     """Give every successful run a range of log ids as long as the lines it read.
 

@@ -85,6 +85,15 @@ def schedule_key() -> Column:
     return F.concat_ws("::", *SCHEDULE_COLUMNS)
 
 
+def open_at(run_ts: dt.datetime) -> Column:
+    """Whether day and hours of a periodic schedule hold."""
+    second = F.lit(run_ts.hour * 3600 + run_ts.minute * 60 + run_ts.second)
+    weekday = F.lit((run_ts.weekday() + 1) % 7)
+    return weekday.between(F.col("day_from"), F.col("day_to")) & second.between(
+        F.col("start_sec"), F.col("end_sec")
+    )
+
+
 def due_runs(schedules: DataFrame, run_ts: dt.datetime, taken: DataFrame | None = None) -> DataFrame:
     """Schedules that are due at `run_ts`, with `schedule_key`, `run_date` and `run_index`.
 

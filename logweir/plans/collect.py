@@ -19,6 +19,8 @@ from logweir.operators.normalize import accepted, parse_lines, rejected
 from logweir.operators.numbering import block_offsets, number_lines
 from logweir.operators.runs import (
     FILE_COLUMNS,
+    follow_readers,
+    one_reader,
     read_totals,
     record_totals,
     resolve_paths,
@@ -151,17 +153,16 @@ def collect_run(
     `read_lines(facts)` gives `server_id, source_file_path, line_number, line_bytes, line` for
     the files whose status in `facts` is READING. It is read twice, for the totals and for the
     records, and should come from something written. `history` may hold more rows than needed:
-    successful runs are picked out.
+    successful runs are picked out. Of several runs of one file one reads it.
     """
     stamp = F.lit(run_ts).cast("timestamp_ntz")
     collect_date = f"{run_ts:%Y%m%d}"
-    facts = stage(
-        settle_runs(runs, sizes, history, exclude, collect_date, init_limit), "facts"
-    )
+    settled = settle_runs(runs, sizes, history, exclude, collect_date, init_limit)
+    facts = stage(one_reader(settled), "facts")
     tail = tail_lines(read_lines(facts), facts)
     # One row per run, written: the lines are scanned once for totals and once for records.
     totals = stage(read_totals(tail), "totals")
-    outcomes = run_outcomes(facts, totals, part_limit)
+    outcomes = follow_readers(run_outcomes(facts, totals, part_limit))
     outcomes = stage(with_id_ranges(outcomes, ids_issued), "outcomes")
     good = outcomes.where(F.col("collect_status") == m.SUCCESS).select(
         "run_key", "server_ip", "schedule_type", "run_id",

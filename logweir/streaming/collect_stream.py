@@ -5,9 +5,10 @@ history, as a scheduled job does. A file over a limit or excluded therefore lose
 stays where it landed and is read after its restore. Segments are immutable and land under new
 names (see `sources.lines`), and those read to their end are not opened again.
 
-A file belongs to every periodic schedule whose template can stand for it on any date, so that a
-segment which arrives after midnight still finds its schedule. A file that no schedule names is
-recorded as failed, for that reason.
+A file belongs to a periodic schedule whose template can stand for it on any date, so that a
+segment which arrives after midnight still finds its schedule. Of several such schedules it is
+that whose day and hours hold when the batch runs, or else the first by key: a batch has one run
+per file. A file that no schedule names is recorded as failed, for that reason.
 
 Runs are named after the query's id in its checkpoint and the number of the batch: a replayed
 batch meets its own runs, with the time of its first try, and a new checkpoint meets none. No
@@ -26,7 +27,7 @@ from logweir import model as m
 from logweir.functions.paths import resolved_path
 from logweir.operators.exclusions import active_exclusions
 from logweir.operators.runs import FILE_COLUMNS
-from logweir.operators.schedules import SCHEDULE_COLUMNS
+from logweir.operators.schedules import SCHEDULE_COLUMNS, open_at, schedule_key, with_rules
 from logweir.plans.collect import collect_landed
 from logweir.sources.lines import LISTING
 from logweir.sources.staging import job_folder, stage
@@ -50,7 +51,8 @@ def collect_stream(
 ) -> StreamingQuery:
     """Start the stream. `options` go to `collect_landed`, `trigger` to the stream's trigger,
     which is `availableNow=True` unless given."""
-    periodic = schedules.where(F.col("schedule_type") == m.PERIODIC)
+    periodic = with_rules(schedules.select(*SCHEDULE_COLUMNS))
+    periodic = periodic.where(F.col("schedule_type") == m.PERIODIC)
 
     def collect_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{_query_id(spark, checkpoint)}-{batch_id}"
@@ -58,7 +60,7 @@ def collect_stream(
         run_ts = _first_try(spark, store, run_id) or clock()
         with job_folder(spark):
             files = batch.distinct().unionByName(_restored(spark, store)).distinct()
-            due = stage(files_due(stage(files, "files"), periodic), "due")
+            due = stage(files_due(stage(files, "files"), periodic, run_ts), "due")
             collect_landed(
                 spark, store, landed, due, run_ts, run_id=run_id, clock=clock, **(options or {})
             )
@@ -72,17 +74,21 @@ def collect_stream(
     )
 
 
-def files_due(files: DataFrame, schedules: DataFrame) -> DataFrame:
-    """One row per file and schedule that names it on some date, with `landed_path`.
+def files_due(files: DataFrame, schedules: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """One row per file, with `landed_path` and the schedule that names it on some date.
 
-    Files without a schedule keep one row, without type and expression.
+    A schedule whose day and hours hold at `run_ts` goes before the others, then the smallest key
+    counts. Files without a schedule have a row without type and expression.
     """
     # Equal for a template and all paths it stands for, whatever digits stand beside the date.
     def shape(path):
         return F.regexp_replace(path, rf"(\d|{m.DATE_PLACEHOLDER})+", "#")
 
     bare = resolved_path(F.col("source_file_path"), F.lit(m.DATE_PLACEHOLDER))
-    named = schedules.select(*SCHEDULE_COLUMNS, "schedule_type", shape(bare).alias("shape"))
+    named = schedules.select(
+        *SCHEDULE_COLUMNS, "schedule_type", shape(bare).alias("shape"),
+        (~open_at(run_ts)).alias("closed"),
+    )
     landed = files.select(
         F.col("server_id"), F.col("source_file_path").alias("landed_path"),
         shape(F.col("source_file_path")).alias("shape"),
@@ -93,7 +99,13 @@ def files_due(files: DataFrame, schedules: DataFrame) -> DataFrame:
     fits = F.exists(
         dates, lambda d: resolved_path(F.col("source_file_path"), d) == F.col("landed_path")
     )
-    matched = landed.join(named, ["server_id", "shape"]).where(fits).drop("shape")
+    matched = landed.join(named, ["server_id", "shape"]).where(fits)
+    # Aggregated before the shuffle, so that many schedules of one file are no burden.
+    schedule = F.struct("closed", schedule_key(), *SCHEDULE_COLUMNS[1:], "schedule_type")
+    matched = matched.groupBy("server_id", "landed_path").agg(F.min(schedule).alias("first"))
+    matched = matched.select(
+        "server_id", "landed_path", *[f"first.{c}" for c in (*SCHEDULE_COLUMNS[1:], "schedule_type")]
+    )
     unnamed = (
         landed.join(matched, ["server_id", "landed_path"], "left_anti")
         .drop("shape")

@@ -268,7 +268,12 @@ def test_lookup_is_whole_and_ordered(spark, tmp_path):
     store = str(tmp_path / "store")
     land(tmp_path / "landed", "s", "/a.log", (number(1) + number("1e-20")).encode())
     due = schedules(spark, "[s][ip][/a.log][배치|*|090000]", "[s][ip][/a.log][주기|*|080000|1|235959]")
-    collect_landed(spark, store, str(tmp_path / "landed"), due, dt.datetime(2026, 6, 12, 9))
+    # A batch run reads the whole file, also after a periodic one has read it.
+    for kind, minute in (("주기", 0), ("배치", 1)):
+        collect_landed(
+            spark, store, str(tmp_path / "landed"), due.where(f"schedule_type = '{kind}'"),
+            dt.datetime(2026, 6, 12, 9, minute),
+        )
     logs = read_logs(spark, store)
     found = find_logs(logs, "20260612", "s", "수치")
     assert len(found.columns) == 16
@@ -278,3 +283,54 @@ def test_lookup_is_whole_and_ordered(spark, tmp_path):
     assert {r.log_value_text for r in rows} == {"1", "1e-20"}
     with pytest.raises(ValueError):
         find_logs(logs.drop("raw_log"), "20260612", "s", "수치")
+
+
+def test_schedules_of_one_file_that_are_due_together(spark, tmp_path):
+    """One run reads the file, the others end behind it; no record is collected twice."""
+    landed, store = tmp_path / "landed", str(tmp_path / "store")
+    due = schedules(
+        spark,
+        "[s][ip][/a.log][주기|1-5|080000|1|235959]",
+        "[s][ip][/a.log][주기|*|090000|1|235959]",
+        "[s][ip][/a.log+][주기|*|090000|1|235959]",
+        "[s][ip][/b.log][배치|*|090000]",
+        "[s][ip][/b.log][주기|*|080000|1|235959]",
+        "[s][ip][/c.log][주기|*|080000|1|235959]",
+        "[s][ip][/c.log][주기|*|080000|2|235959]",
+    )
+    for path in ("/a.log", "/b.log", "/c.log"):
+        land(landed, "s", path, (number(1) + "plain\n" + number(2)).encode())
+
+    def run(ts, **options):
+        collect_landed(spark, store, str(landed), due, ts, **options)
+        logs = read_logs(spark, store).collect()
+        assert len(logs) == len({r.collect_log_id for r in logs})
+        return sorted((r.source_file_path, r.line_number) for r in logs)
+
+    day1, day2 = dt.datetime(2026, 6, 12, 9), dt.datetime(2026, 6, 13, 9)
+    both = [(path, n) for path in ("/a.log", "/b.log", "/c.log") for n in (1, 3)]
+    assert run(day1) == both
+    runs = collect_history(spark, store).collect()
+    assert len(runs) == 7 and {r.collect_status for r in runs} == {"SUCCESS"}
+    assert {r.last_line_number for r in runs} == {3}
+    for path in ("/a.log", "/b.log", "/c.log"):
+        counts = sorted(r.collected_count for r in runs if r.source_file_path == path)
+        assert counts[:-1] == [0] * (len(counts) - 1) and counts[-1] == 2
+    assert {r.collected_count for r in runs if r.schedule_type == "배치"} == {2}
+
+    # On another day the file without the plus sign is read from its start, once for all three.
+    land(landed, "s", "/a.log", (number(1) + "plain\n" + number(2) + number(3)).encode())
+    assert [n for path, n in run(day2) if path == "/a.log"] == [1, 1, 3, 3, 4]
+
+
+def test_runs_behind_a_reader_over_its_limit(spark, tmp_path):
+    landed, store = tmp_path / "landed", str(tmp_path / "store")
+    due = schedules(
+        spark, "[s][ip][/a.log][주기|*|080000|1|235959]", "[s][ip][/a.log][주기|*|080000|2|235959]"
+    )
+    land(landed, "s", "/a.log", (number(1) * 9).encode())
+    collect_landed(spark, store, str(landed), due, dt.datetime(2026, 6, 12, 9), part_limit=100)
+    assert read_logs(spark, store).count() == 0
+    ended = {(r.collect_status, r.fail_reason) for r in collect_history(spark, store).collect()}
+    assert ended == {("SKIP", "PART_SIZE_EXCEEDED"), ("SKIP", "EXCLUDED")}
+    assert read_table(spark, store, "collect_exclude").count() == 1

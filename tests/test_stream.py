@@ -135,3 +135,33 @@ def test_late_segments_and_new_checkpoints(spark, tmp_path):
     assert len(run("three")) == 4
     ids = [r.collect_log_id for r in read_logs(spark, store).collect()]
     assert len(ids) == len(set(ids)) == 4
+
+
+def test_a_batch_has_one_run_per_file(spark, tmp_path):
+    """Of the schedules that name a file, that whose day and hours hold stands for it."""
+    landed, store = str(tmp_path / "landed"), str(tmp_path / "store")
+    lines = [
+        "[s][ip][/a.log][주기|1-5|080000|1|235959]", "[s][ip][/a.log][주기|6|080000|1|235959]",
+        "[s][ip][/a.yyyymmdd][주기|0|080000|1|120000]", "[s][ip][/a.yyyymmdd][주기|0|120001|1|235959]",
+    ]
+    schedules = parse_schedules(spark.createDataFrame([(x,) for x in lines], "line string"))
+    times = iter([dt.datetime(2026, 6, 12, 9), dt.datetime(2026, 6, 13, 9)])  # Friday, Saturday
+
+    def run():
+        collect_stream(
+            spark, landed, store, schedules, str(tmp_path / "checkpoint"), clock=lambda: next(times)
+        ).awaitTermination()
+
+    land(landed, "s", "/a.log", (RECORD.format("p") * 3).encode(), "0001.log")
+    land(landed, "s", "/a.20260614", RECORD.format("q").encode(), "0001.log")
+    run()
+    land(landed, "s", "/a.log", RECORD.format("r").encode(), "0002.log")
+    run()
+    rows = read_logs(spark, store).collect()
+    assert len(rows) == len({r.collect_log_id for r in rows}) == 5
+    runs = collect_history(spark, store).collect()
+    used = sorted((r.source_file_path, r.collect_start_at.day, r.run_key.split("::")[3]) for r in runs)
+    assert used == [
+        ("/a.20260614", 12, "주기|0|080000|1|120000"),
+        ("/a.log", 12, "주기|1-5|080000|1|235959"), ("/a.log", 13, "주기|6|080000|1|235959"),
+    ]
