@@ -1,9 +1,11 @@
 """A deterministic sharded WARC writer, and the reader of what it wrote.
 
-`records` decides which record answers for equal payloads. `write_archive` range-sorts the records
-by id, and each task writes its range as gzip members, one per record, beginning a new file when
-the compressed size of the last has reached `roll_bytes`. All headers, ids and digests come from
-the data and the given date, so the same input gives the same bytes.
+`records` decides which record answers for equal payloads. `write_archive` sorts the records by
+id, url and digest and cuts that order into shards by exact running totals of their bytes. A shard
+is written as gzip members, one per record, beginning a new file when the compressed size of the
+last has reached `roll_bytes`. Shard limits come from the data alone, and so do all headers, ids and
+digests beside the given date: the same input gives the same files, byte by byte, whatever the
+number of partitions. The limits, one key for each shard, pass the driver.
 
 Commit: a task writes each file under a temporary name that no other attempt has, and gives back
 a manifest row. The manifest is a table that Spark commits, with the rows of exactly one attempt
@@ -20,16 +22,18 @@ other than id, url and html are not read; an empty table gives an empty manifest
 """
 
 import base64
+import bisect
 import gzip
 import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logweir.sources.staging import new_folder, stage
@@ -39,6 +43,9 @@ _MANIFEST = (
     "temporary string, final string, records bigint, bytes bigint, sha256 string,"
     " first_id bigint, last_id bigint"
 )
+KEY = ("page_id", "url", "payload_digest")
+_HEADERS = 600  # bytes, about
+_LEAST = 16 << 20
 _READ = (
     "page_id bigint, url string, record_type string, payload binary, payload_bytes bigint,"
     " payload_digest string, refers_to bigint"
@@ -191,14 +198,18 @@ def write_archive(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target = _RollingFile(folder, TaskContext.get().partitionId(), date, roll_bytes)
+        target = None
         for batch in batches:
             names = batch.schema.names
             for values in zip(*batch.columns):  # one record at a time in memory
-                done = target.add({n: v.as_py() for n, v in zip(names, values)})
-                if done:
-                    yield pa.RecordBatch.from_pylist([done], kind)
-        done = target.close()
+                row = {n: v.as_py() for n, v in zip(names, values)}
+                done = None
+                if target is None or target.shard != row["shard"]:
+                    done = target and target.close()
+                    target = _RollingFile(folder, row["shard"], date, roll_bytes)
+                for row_ in filter(None, (done, target.add(row))):
+                    yield pa.RecordBatch.from_pylist([row_], kind)
+        done = target and target.close()
         if done:
             yield pa.RecordBatch.from_pylist([done], kind)
 
@@ -214,9 +225,11 @@ def write_archive(
                     raise OSError(f"{target} has {size} bytes, its manifest says {row['bytes']}")
             yield batch
 
-    order = [F.col(c).asc_nulls_first() for c in ("page_id", "url", "payload_digest")]
+    limits = shard_limits(rows, roll_bytes)
+    order = ["shard", *[F.col(c).asc_nulls_first() for c in KEY]]
     manifest = (
-        rows.repartitionByRange(*order[:2])
+        rows.withColumn("shard", shard_of(limits))
+        .repartitionById(len(limits) + 1, F.col("shard"))
         .sortWithinPartitions(*order)
         .mapInArrow(write, _MANIFEST)
     )
@@ -224,6 +237,54 @@ def write_archive(
     return stage(manifest.mapInArrow(commit, _MANIFEST), "committed")
 
 
+def shard_limits(rows: DataFrame, roll_bytes: int) -> list[tuple]:
+    """The smallest key of each shard but the first, in order.
+
+    A shard holds 1/64 of all bytes, but 16 MiB at least and four files at the most.
+    """
+    size = F.coalesce(F.octet_length("payload"), F.lit(0)) + _HEADERS
+    keys = rows.groupBy(*KEY).agg(F.sum(size.cast("bigint")).alias("size"))
+    order = [F.col(c).asc_nulls_first() for c in KEY]
+    keys = stage(keys.repartitionByRange(*order).sortWithinPartitions(*order), "keys")
+    keys = keys.select(
+        "*",
+        F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("bigint").alias("part"),
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"),
+    )
+    files = keys.groupBy("part", "file").agg(F.sum("size").alias("size"))
+    total = files.agg(F.sum("size")).first()[0]
+    if total is None:
+        return []
+    shard_bytes = min(max(total // 64, _LEAST), max(4 * roll_bytes, _HEADERS))
+    # One row per written file, then the rows of one file at a time.
+    earlier = W.orderBy("part", "file").rowsBetween(W.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    within = W.partitionBy("file").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
+    running = F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0))
+    cut = keys.join(files, "file").select(*KEY, F.floor(running / shard_bytes).alias("shard"))
+    firsts = cut.groupBy("shard").agg(F.min(F.struct(*KEY)).alias("first"))
+    return [tuple(r.first) for r in firsts.orderBy("shard").collect()][1:]
+
+
+def shard_of(limits: list[tuple]) -> Column:
+    """The shard of a record by its key."""
+    ordered = [_comparable(limit) for limit in limits]
+
+    def find(page_id: pd.Series, url: pd.Series, digest: pd.Series) -> pd.Series:
+        # Ids travel as text: a null among them would turn all into floats.
+        keys = (
+            (None if i is None else int(i), u, d) for i, u, d in zip(page_id, url, digest)
+        )
+        return pd.Series([bisect.bisect_right(ordered, _comparable(key)) for key in keys])
+
+    return F.pandas_udf(find, "int")(F.col("page_id").cast("string"), "url", "payload_digest")
+
+
+def _comparable(key: tuple) -> tuple:
+    """A key whose nulls sort first."""
+    return tuple((False,) if value is None else (True, value) for value in key)
+
+
 def _members(stream) -> Iterator[bytes]:
     """The gzip members of a stream, each unpacked."""
     unpack, parts = zlib.decompressobj(31), []
@@ -295,14 +356,25 @@ def read_archive(manifest: DataFrame, folder: str, payloads: bool = True) -> Dat
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, kind)
 
-    return manifest.select("final").repartition("final").mapInArrow(read, _READ)
+    # One task per file; AQE would merge them, as their names are few bytes.
+    files = manifest.select("final", F.row_number().over(W.orderBy("final")).alias("place"))
+    tasks = max(1, manifest.count())
+    return (
+        files.repartitionById(tasks, F.col("place") - 1).select("final").mapInArrow(read, _READ)
+    )
+
+
+def folder_uri(spark: SparkSession, folder: str) -> str:
+    """`folder` with the scheme of the file system that Spark takes it to be on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = files.makeQualified(path).toString()
+    return f"file://{uri[5:]}" if uri.startswith("file:/") and uri[5:7] != "//" else uri
 
 
 def archived(spark: SparkSession, pages: DataFrame, roll_bytes: int = 256 << 20) -> DataFrame:
     """`pages` written to a new archive in the shared folder and read back."""
-    folder = new_folder(spark, "warc")
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{folder}"
+    folder = folder_uri(spark, new_folder(spark, "warc"))
     manifest = write_archive(records(pages), folder, roll_bytes)
     return read_archive(manifest, folder, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"

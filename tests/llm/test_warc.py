@@ -5,7 +5,8 @@ import os
 import pytest
 from pyspark.errors import PythonException
 
-from logweir.llm.warc import archived, parse, read_archive, records, write_archive
+from logweir.llm import warc
+from logweir.llm.warc import archived, folder_uri, parse, read_archive, records, write_archive
 
 PAGES = "page_id bigint, url string, html string, record_type string"
 
@@ -75,6 +76,44 @@ def test_files_roll_sort_and_repeat_byte_by_byte(spark, tmp_path):
     assert len(made[0]) > 3
 
 
+def test_bytes_do_not_depend_on_partitions(spark, tmp_path, monkeypatch):
+    """10,000 pages, written with 4 and with 8 partitions and from other input partitions."""
+    monkeypatch.setattr(warc, "_LEAST", 100_000)
+    rows = [(i * 7 % 10_000, f"u{i % 3}", f"{i % 4000} " * (1 + i % 50)) for i in range(10_000)]
+    rows += [(None, None, "n" * 2000), (None, "x", "n"), (5, None, "a"), (5, None, "a")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    made = []
+    try:
+        for partitions, parts in ((4, 3), (8, 11), (8, 11)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            folder = f"file://{tmp_path}/{len(made)}"
+            table = records(pages(spark, rows).repartition(parts))
+            manifest = write_archive(table, folder, roll_bytes=30_000)
+            made.append(sorted((r.final, r.records, r.bytes, r.sha256) for r in manifest.collect()))
+            read = read_archive(manifest, folder, payloads=False)
+            assert read.rdd.getNumPartitions() == len(made[-1])
+            assert read.count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert made[0] == made[1] == made[2]
+    assert len({final.split("-")[1] for final, *_ in made[0]}) > 20
+    assert sum(r[1] for r in made[0]) == len(rows)
+
+
+def test_folders_keep_the_scheme_of_their_file_system(spark):
+    assert folder_uri(spark, "/a/b") == "file:///a/b"
+    assert folder_uri(spark, "file:/a/b") == "file:///a/b"
+    assert folder_uri(spark, "file:///a/b") == "file:///a/b"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "viewfs://cluster/")
+        conf.set("fs.viewfs.mounttable.cluster.link./a", "file:///a")
+        assert folder_uri(spark, "/a/b") == "viewfs://cluster/a/b"
+    finally:
+        conf.set("fs.defaultFS", before or "file:///")
+
+
 def test_damage_is_found(spark, tmp_path):
     folder = f"file://{tmp_path}"
     manifest = write_archive(records(pages(spark, [(1, "u", "hello" * 300)])), folder)
