@@ -7,11 +7,11 @@ back into text order and hashes that tuple. The tuples are the signature: moving
 replacing text changes the order or the choice in the bins concerned, as edit distance does,
 where plain MinHash sees sets only.
 
-One hash per k-mer serves all bins, so the work is linear in the text. Only k-mers whose hash is
-small for the text's length are candidates, `_SPARE` per bin on average; a bin that has fewer
-candidates than `TUPLE`, which is rare beyond short texts, hashes those it has, and one that has
-none is no part of the signature. Likeness is the share of bins with equal tuples among the bins
-that either text fills.
+One hash per k-mer serves all bins, so the work is linear in the text. K-mers whose hash is small
+for the text's length, `_SPARE` per bin on average, are looked at first; if a bin has fewer of them
+than `TUPLE`, about once in 1,000 long texts, all k-mers are. A bin to which a text deals fewer
+k-mers than `TUPLE` hashes those it has, and one without any is no part of the signature. Likeness
+is the share of bins with equal tuples among the bins that either text fills.
 
 Everything stays inside one row: arrays are sorted and folded, nothing is exploded. The next
 document in descending order of id comes from a window over ranges of ids of like size; the first
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 K = 3
 TUPLE = 2
 BINS = 64
-_SPARE = 6
+_SPARE = 14
 _PLACE_BITS = 24
 _PLACE = (1 << _PLACE_BITS) - 1
 _RANK_BITS = 57  # a hash of 63 bits is 6 bits of bin, then its rank; the lowest 24 give way
@@ -94,7 +94,8 @@ def _number(packed: Column, i: Column, kmer: Callable[[Column], Column]) -> Colu
 
 
 def _candidates(kmers: Column) -> Column:
-    """Bin, rank and place of numbered k-mers, sorted: those of small rank for their number."""
+    """Bin, rank and place of numbered k-mers, sorted: `TUPLE` of the smallest ranks in each bin,
+    and more."""
     mask = _long((1 << 63 - _PLACE_BITS) - 1)
     count = F.greatest(F.lit(1), F.size(kmers))
     share = F.least(F.lit(1.0), F.lit(float(_SPARE * BINS)) / count)
@@ -121,28 +122,41 @@ def _candidates(kmers: Column) -> Column:
         )
 
     rank = _long((1 << _RANK_BITS) - 1)
-    small = _let(
-        limit, lambda most: F.filter(_let(packed, entries), lambda e: e.bitwiseAND(rank) < most)
-    )
-    return F.sort_array(small)
+
+    def enough(small: Column, every: Column) -> Column:
+        """`small` sorted if it fills every bin or leaves nothing out, else all."""
+        def fills(x: Column, i: Column) -> Column:
+            own = _bin(x)
+            last = (i >= TUPLE - 1) & (_bin(F.get(small, i - (TUPLE - 1))) == own)
+            return last & ((i < TUPLE) | (_bin(F.get(small, i - TUPLE)) != own))
+
+        whole = (F.size(small) == F.size(every)) | (F.size(F.filter(small, fills)) == BINS)
+        return F.when(whole, small).otherwise(F.sort_array(every))
+
+    def chosen(every: Column) -> Column:
+        small = _let(limit, lambda most: F.filter(every, lambda e: e.bitwiseAND(rank) < most))
+        return _let(F.sort_array(small), lambda s: enough(s, every))
+
+    return _let(_let(packed, entries), chosen)
+
+
+def _bin(x: Column) -> Column:
+    return F.shiftrightunsigned(x, _RANK_BITS)
 
 
 def signature(text: Column) -> Column:
     """array<int> of bin * 65536 + tuple hash, by bin, for the bins that the text fills."""
 
-    def bin_of(x: Column) -> Column:
-        return F.shiftrightunsigned(x, _RANK_BITS)
-
     def smallest(found: Column) -> Column:
         chosen = F.filter(
-            found, lambda x, i: (i < TUPLE) | (bin_of(F.get(found, i - TUPLE)) != bin_of(x))
+            found, lambda x, i: (i < TUPLE) | (_bin(F.get(found, i - TUPLE)) != _bin(x))
         )
         # Bin, place, rank: in each bin, text order.
         rank_bits = _RANK_BITS - _PLACE_BITS
         return F.sort_array(
             F.transform(
                 chosen,
-                lambda x: F.shiftleft(bin_of(x), _RANK_BITS)
+                lambda x: F.shiftleft(_bin(x), _RANK_BITS)
                 .bitwiseOR(F.shiftleft(x.bitwiseAND(_long(_PLACE)), rank_bits))
                 .bitwiseOR(
                     F.shiftrightunsigned(x, _PLACE_BITS).bitwiseAND(_long((1 << rank_bits) - 1))
@@ -155,10 +169,10 @@ def signature(text: Column) -> Column:
 
         def hashed(x: Column, i: Column) -> Column:
             rest = [F.get(ordered, i + j) for j in range(1, TUPLE)]
-            own = [F.when(bin_of(r) == bin_of(x), r.bitwiseAND(rank)) for r in rest]
+            own = [F.when(_bin(r) == _bin(x), r.bitwiseAND(rank)) for r in rest]
             low = F.xxhash64(x.bitwiseAND(rank), *own).bitwiseAND(_long(0xFFFF))
-            first = (i == 0) | (bin_of(F.get(ordered, i - 1)) != bin_of(x))
-            return F.when(first, (bin_of(x) * 65536 + low).cast("int"))
+            first = (i == 0) | (_bin(F.get(ordered, i - 1)) != _bin(x))
+            return F.when(first, (_bin(x) * 65536 + low).cast("int"))
 
         return F.array_compact(F.transform(ordered, hashed))
 

@@ -38,13 +38,11 @@ def by_definition(text):
             h = _long(x, h)
         kmers = [h] if hashes else []
     bins, seen = {}, {}
-    share = min(1.0, fp._SPARE * fp.BINS / len(kmers)) if kmers else 1
     for place, kmer in enumerate(k & ((1 << 39) - 1) for k in kmers):
         number = seen[kmer] = seen.get(kmer, -1) + 1
         hashed = _int(number, _long(kmer, 42)) & ((1 << 63) - 1)
         hashed = hashed >> 24 << 24 | place
-        if hashed & ((1 << 57) - 1) < int(share * (1 << 57)):
-            bins.setdefault(hashed >> 57, []).append((hashed >> 24 & ((1 << 33) - 1), place))
+        bins.setdefault(hashed >> 57, []).append((hashed >> 24 & ((1 << 33) - 1), place))
     result = {}
     for number, entries in bins.items():
         chosen = sorted(sorted(entries)[: fp.TUPLE], key=lambda e: e[1])
@@ -59,7 +57,7 @@ def some_texts():
     draw = random.Random(2)
     texts = ["", " \n ", "one", "one two", "a b c", "a b c d", "a a a a a a a a a a a a"]
     texts += ["漢字仮名交じり文 mixed ไทย words", "é ü ö x\ty\x0bz"]
-    for size in (30, 200, 900, 3000):
+    for size in (30, 200, 900, *[1500] * 40, 3000):
         texts.append(" ".join(f"w{draw.randrange(60 + size // 3)}" for _ in range(size)))
     return texts
 
@@ -72,6 +70,12 @@ def test_signature_against_brute_force(spark):
         assert list(row.s) == sorted(row.s)
 
 
+def test_thin_bins_are_filled_from_all_kmers(spark, monkeypatch):
+    """With few candidates per bin almost every text needs all of its k-mers."""
+    monkeypatch.setattr(fp, "_SPARE", 2)
+    test_signature_against_brute_force(spark)
+
+
 def test_order_and_repeats_change_the_fingerprint(spark):
     draw = random.Random(4)
     half = [" ".join(f"w{draw.randrange(5000)}" for _ in range(400)) for _ in range(3)]
