@@ -67,9 +67,10 @@ def numbered_turns(conversations: DataFrame) -> DataFrame:
         _name(F.length(role).cast("string"), F.lit(":"), role, text).alias("item"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint").alias("words"),
     )
-    # Equal rows are told apart for the sort, so that a range can end between them.
+    # Equal rows are told apart for the sort, so that a range can end between them. Written, as a
+    # range sort reads its input twice, and the texts need to be read once.
     order = ["conv_id", F.col("turn").asc_nulls_first(), "item", "row"]
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "hashed")
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("row", "turn")
     rows = stage(rows, "turns").select(
         "*",
