@@ -303,6 +303,39 @@ stored AS (
     (r.before + p.line_number)::bigint AS collect_log_id,
     CASE WHEN log_type IN ('수치', '시간') THEN value_text END AS log_value_text
   FROM parsed p JOIN ranges r USING (server_id, source_file_path) WHERE fault IS NULL)"""
+# Seconds of the day between two polls, each looked at on its own.
+FIRED = f"""{SCHEDULES},
+seconds AS (SELECT unnest(range({DUE_SECOND - 90} + 1, {DUE_SECOND} + 1)) AS second),
+fired AS (
+  SELECT event_id, schedule_type, DATE '2024-01-17' AS run_date, second,
+    server_id || '::' || server_ip || '::' || source_file_path || '::' || schedule_expression
+      AS schedule_key,
+    CASE WHEN schedule_type = '배치' THEN 0
+      ELSE (second - start_sec) // (interval_min * 60) END::bigint AS index
+  FROM schedules, seconds
+  WHERE 3 BETWEEN day_from AND day_to AND CASE WHEN schedule_type = '배치' THEN second = start_sec
+    ELSE second BETWEEN start_sec AND end_sec AND (second - start_sec) % (interval_min * 60) = 0
+    END)"""
+FIRSTS = """firsts AS (
+  SELECT server_id, source_file_path, count(*) AS n_lines,
+    sum(strlen(line) + 1)::bigint AS n_bytes,
+    count(*) FILTER (WHERE event_id < half) AS n_first,
+    (sum(strlen(line) + 1) FILTER (WHERE event_id < half))::bigint AS first_bytes
+  FROM scanned, (SELECT (max(event_id) + 1) // 2 AS half FROM events) GROUP BY ALL)"""
+
+
+def _read_once(n_runs: int, schedule: str) -> str:
+    return (
+        f"WITH {STORED} SELECT server_id, source_file_path, count(*) AS n_records, "
+        f"count(*) AS n_ids, {n_runs}::bigint AS n_runs, 1::bigint AS n_reading, "
+        f"'{schedule}' AS reading_schedule FROM stored GROUP BY ALL"
+    )
+
+
+GROWN = f"""WITH {STORED}, {FIRSTS} SELECT {KEY}, {LOG},
+  CASE WHEN line_number <= n_first THEN TIMESTAMP '2024-01-20 10:00:00'
+    ELSE TIMESTAMP '2024-01-20 11:00:00' END AS collect_datetime
+FROM stored JOIN firsts USING (server_id, source_file_path)"""
 PLACE = "server_ip, schedule_type, collect_date, collect_datetime"
 LOOKUP = f"""
 WITH {STORED}
@@ -422,6 +455,41 @@ FROM jobs LEFT JOIN counts USING (server_id, source_file_path)""",
     "collect_taken_once": f"WITH {STORED} SELECT server_id, source_file_path, "
     "count(*) AS n_records, count(*) AS n_ids, 1::bigint AS n_runs FROM stored GROUP BY ALL",
     "stream_collect": f"WITH {STORED} SELECT {KEY}, {LOG} FROM stored",
+    "collect_overlapping_schedules": _read_once(4, "배치|*|100000"),
+    "stream_overlapping_schedules": _read_once(1, "주기|6|090000|60|235959"),
+    "grown_files": GROWN,
+    "grown_after_compaction": f"""WITH {STORED}, {FIRSTS} SELECT {KEY}, {LOG},
+  CASE WHEN line_number <= n_first THEN '20240120' ELSE '20240121' END AS collect_date,
+  CASE WHEN line_number <= n_first THEN TIMESTAMP '2024-01-20 10:00:00'
+    ELSE TIMESTAMP '2024-01-21 10:00:00' END AS collect_datetime
+FROM stored JOIN firsts USING (server_id, source_file_path)""",
+    "stream_growing_files": GROWN,
+    "grown_segments": f"""WITH {SCANNED}, {FIRSTS}
+SELECT server_id, source_file_path, '20240120T100000' AS run_id, 'NEW' AS change,
+  first_bytes AS length, n_first AS lines FROM firsts WHERE n_first > 0
+UNION ALL
+SELECT server_id, source_file_path, '20240120T110000',
+  CASE WHEN n_first > 0 THEN 'APPENDED' ELSE 'NEW' END, n_bytes, n_lines
+FROM firsts WHERE n_first < n_lines""",
+    "due_since_poll": f"""WITH {FIRED}
+SELECT event_id, schedule_key, schedule_type, run_date, max(index) AS run_index,
+  run_date::timestamp + to_seconds(max(second)) AS run_at, count(*) AS firings
+FROM fired GROUP BY event_id, schedule_key, schedule_type, run_date""",
+    "calendar_gaps": f"""WITH {FIRED},
+closed AS (SELECT schedule_key, run_date, max(index) AS done FROM fired GROUP BY ALL),
+days AS (SELECT unnest([DATE '2024-01-17', DATE '2024-01-18']) AS run_date),
+firings AS (
+  SELECT event_id, start_sec, interval_min, run_date,
+    server_id || '::' || server_ip || '::' || source_file_path || '::' || schedule_expression
+      AS schedule_key,
+    unnest(CASE WHEN schedule_type = '배치' THEN [start_sec]
+      ELSE range(start_sec, end_sec + 1, interval_min * 60) END) AS second
+  FROM schedules, days WHERE dayofweek(run_date) BETWEEN day_from AND day_to)
+SELECT event_id, schedule_key, run_date, count(*) AS n_missed,
+  min(run_date::timestamp + to_seconds(second)) AS first_missed
+FROM firings LEFT JOIN closed USING (schedule_key, run_date)
+WHERE done IS NULL OR coalesce((second - start_sec) // (interval_min * 60), 0) > done
+GROUP BY ALL""",
     "schedule_parse": f"WITH {SCHEDULES} SELECT * FROM schedules",
     "schedule_calendar": f"""WITH {SCHEDULES},
 days AS (SELECT unnest([DATE '2024-01-19', DATE '2024-01-20', DATE '2024-01-21']) AS run_date),

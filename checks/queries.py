@@ -15,7 +15,14 @@ from logweir.operators import runs as rn
 from logweir.operators.lookup import find_logs
 from logweir.operators.normalize import accepted, parse_lines, rejected
 from logweir.operators.numbering import block_offsets, number_lines, numbered
-from logweir.operators.schedules import due_runs, parse_schedules, run_calendar, with_rules
+from logweir.operators.schedules import (
+    due_between,
+    due_runs,
+    missed_runs,
+    parse_schedules,
+    run_calendar,
+    with_rules,
+)
 from logweir.plans.collect import (
     closing_events,
     collect_history,
@@ -23,6 +30,7 @@ from logweir.plans.collect import (
     collect_run,
     prepare_runs,
 )
+from logweir.plans.compact import compact
 from logweir.sources.lines import BLOCK_COLUMNS, LANDED, file_sizes, scan_landed
 from logweir.sources.staging import new_folder, stage, stage_numbered
 from logweir.sources.store import read_logs, read_table, write_table
@@ -429,6 +437,124 @@ def stream_collect(spark, sf_dir):
     return read_logs(spark, store).select(*KEY, *LOG)
 
 
+# Three periodic schedules and a batch schedule for each file, all due at RUN_TS, a Saturday.
+SAME_FILE = (
+    ("주기|*|080000|30|235959", m.PERIODIC), ("주기|1-5|080000|30|235959", m.PERIODIC),
+    ("주기|6|090000|60|235959", m.PERIODIC), ("배치|*|100000", m.BATCH),
+)
+
+
+def _same_file(spark, sf_dir) -> DataFrame:
+    schedules = _files(spark, sf_dir, *SAME_FILE[0])
+    for expression, kind in SAME_FILE[1:]:
+        schedules = schedules.unionByName(_files(spark, sf_dir, expression, kind))
+    return stage(schedules, "due")
+
+
+def _per_file(spark, store) -> DataFrame:
+    """Records, their ids, runs and those that read something, per file."""
+    logs = read_logs(spark, store).groupBy(*FILE_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n_records"), F.countDistinct("collect_log_id").alias("n_ids")
+    )
+    runs = collect_history(spark, store).groupBy(*FILE_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("collected_count") > 0).alias("n_reading"),
+        F.max_by(F.split("run_key", "::")[3], "collected_count").alias("reading_schedule"),
+    )
+    return logs.join(runs, FILE_COLUMNS)
+
+
+def collect_overlapping_schedules(spark, sf_dir):
+    """Four schedules of one file due in one job: one run reads it, the others end behind it."""
+    landed, store = _land_events(spark, sf_dir), new_folder(spark, "store")
+    collect_landed(spark, store, landed, _same_file(spark, sf_dir), RUN_TS, **NO_LIMIT)
+    return _per_file(spark, store)
+
+
+def stream_overlapping_schedules(spark, sf_dir):
+    """The stream gives a file to the schedule whose day and hours hold, and to no other."""
+    landed, store = _land_events(spark, sf_dir), new_folder(spark, "store")
+    schedules = _same_file(spark, sf_dir).where("schedule_expression <> '주기|*|080000|30|235959'")
+    collect_stream(
+        spark, landed, store, schedules, new_folder(spark, "checkpoint"), clock=lambda: RUN_TS,
+        options=NO_LIMIT,
+    ).awaitTermination()
+    return _per_file(spark, store)
+
+
+def _land_growing(spark, sf_dir, landed: str, until: int | None) -> None:
+    """Put the event lines as one segment per file, up to an event's number, in place of those
+    that stand there; a longer segment begins with the bytes of a shorter one."""
+    folder = new_folder(spark, "whole")
+    lines = inputs.event_lines(spark, sf_dir).selectExpr(
+        "concat('srv', event_id % 3) AS server_id",
+        "concat('/logs/', element_at(split(source_file_path, '[/.]'), 3), '.log') "
+        "AS source_file_path",
+        "event_id", "line AS value",
+    )
+    if until is not None:
+        lines = lines.where(F.col("event_id") < until)
+    lines = lines.repartition(*FILE_COLUMNS).sortWithinPartitions(*FILE_COLUMNS, "event_id")
+    lines.drop("event_id").write.partitionBy(*FILE_COLUMNS).text(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(path(f"{folder}/server_id=*/source_file_path=*/part-*")):
+        leaf = found.getPath().getParent()
+        target = path(path(path(landed, leaf.getParent().getName()), leaf.getName()), "app.log")
+        files.mkdirs(target.getParent())
+        files.delete(target, False)
+        if not files.rename(found.getPath(), target):
+            raise OSError(f"{target} could not be put in place")
+
+
+def _grown(spark, sf_dir) -> str:
+    """A store after two jobs over files of which the second half was appended in between."""
+    landed, store = new_folder(spark, "landed"), new_folder(spark, "store")
+    due = stage(_files(spark, sf_dir, "주기|*|080000|30|235959", m.PERIODIC), "due")
+    last = inputs.read(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    for until, run_ts in (((last + 1) // 2, RUN_TS), (None, LATER_TS)):
+        _land_growing(spark, sf_dir, landed, until)
+        collect_landed(spark, store, landed, due, run_ts, **NO_LIMIT)
+    return store
+
+
+def grown_files(spark, sf_dir):
+    """Records of files that grew: the second job reads the appended bytes."""
+    return read_logs(spark, _grown(spark, sf_dir)).select(*KEY, *LOG, "collect_datetime")
+
+
+def grown_after_compaction(spark, sf_dir):
+    """The same on two days, the history of the first folded into the store's state."""
+    landed, store = new_folder(spark, "landed"), new_folder(spark, "store")
+    due = stage(_files(spark, sf_dir, "주기|*|080000|30|235959", m.PERIODIC), "due")
+    last = inputs.read(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    for until, run_ts in (((last + 1) // 2, RUN_TS), (None, RUN_TS + dt.timedelta(days=1))):
+        _land_growing(spark, sf_dir, landed, until)
+        collect_landed(spark, store, landed, due, run_ts, **NO_LIMIT)
+        compact(spark, store, run_ts.date() + dt.timedelta(days=1))
+    return read_logs(spark, store).select(*KEY, *LOG, "collect_date", "collect_datetime")
+
+
+def grown_segments(spark, sf_dir):
+    """How far each job has read the segments of growing files."""
+    rows = read_table(spark, _grown(spark, sf_dir), "segments")
+    return rows.select(*FILE_COLUMNS, "run_id", "change", "length", "lines")
+
+
+def stream_growing_files(spark, sf_dir):
+    """Files that grow without a new segment, as a stream that is started twice."""
+    landed, store = new_folder(spark, "landed"), new_folder(spark, "store")
+    checkpoint = new_folder(spark, "checkpoint")
+    periodic = stage(_files(spark, sf_dir, "주기|*|080000|30|235959", m.PERIODIC), "schedules")
+    last = inputs.read(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    for until, run_ts in (((last + 1) // 2, RUN_TS), (None, LATER_TS)):
+        _land_growing(spark, sf_dir, landed, until)
+        collect_stream(
+            spark, landed, store, periodic, checkpoint, clock=lambda ts=run_ts: ts,
+            options=NO_LIMIT, growing=True,
+        ).awaitTermination()
+    return read_logs(spark, store).select(*KEY, *LOG, "collect_datetime")
+
+
 def analyze_lookup(spark, sf_dir):
     """Numeric logs of one server and day, from the stored table."""
     return find_logs(read_logs(spark, _stored(spark, sf_dir)), COLLECT_DATE, "srv1", m.NUMERIC)
@@ -462,6 +588,25 @@ def due_at(spark, sf_dir):
     )
 
 
+def due_since_poll(spark, sf_dir):
+    """What came due in the 90 seconds since the last poll."""
+    rows = due_between(schedule_parse(spark, sf_dir), DUE_TS - dt.timedelta(seconds=90), DUE_TS)
+    return rows.select(
+        "event_id", "schedule_key", "schedule_type", "run_date", "run_index", "run_at", "firings"
+    )
+
+
+def calendar_gaps(spark, sf_dir):
+    """Runs of two days that are not made good by those due in a late poll and one day's end."""
+    schedules = schedule_parse(spark, sf_dir)
+    polled = due_between(schedules, DUE_TS - dt.timedelta(seconds=90), DUE_TS)
+    closed = stage(polled.select("schedule_key", "run_date", "run_index"), "closed")
+    missed = missed_runs(schedules, closed, DUE_TS.date(), DUE_TS.date() + dt.timedelta(days=1))
+    return missed.groupBy("event_id", "schedule_key", "run_date").agg(
+        F.count(F.lit(1)).alias("n_missed"), F.min("run_at").alias("first_missed")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -473,7 +618,10 @@ QUERIES = {
         collect_end_to_end, collect_log_ids, collect_rejects, run_status, run_summary, history_close,
         exclude_register, collect_store, store_history, collect_taken_once, stream_collect,
         analyze_lookup, analyze_lookup_id, schedule_parse,
-        schedule_calendar, due_at,
+        schedule_calendar, due_at, due_since_poll, calendar_gaps, collect_overlapping_schedules,
+        stream_overlapping_schedules, grown_files, grown_segments,
+        grown_after_compaction,
+        stream_growing_files,
     )
 }
 QUERIES["file_sizes"] = landed_file_sizes

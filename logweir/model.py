@@ -98,10 +98,22 @@ HISTORY_EVENTS = (
     "run_index bigint, issued_ids bigint, seq int, run_id string, stage string"
 )
 
-# Line counts of landed segments that were read to their end.
+# How far landed segments were read: bytes, the lines in them, digests of the first and the last
+# of these bytes, and what had become of the segment when it was opened.
 SEGMENTS = (
     "server_id string, source_file_path string, segment string, length bigint, "
-    "modified timestamp, lines bigint, collect_date string, run_id string"
+    "modified timestamp, lines bigint, head string, tail string, change string, "
+    "collect_date string, run_id string"
+)
+NEW_SEGMENT = "NEW"
+APPENDED = "APPENDED"
+REWRITTEN = "REWRITTEN"
+SHRUNK = "SHRUNK"
+REREAD = "REREAD"  # unchanged, opened again for a run that starts before its end
+
+# Which stretch of time a job's poll stands for.
+POLLS = (
+    "polled_after timestamp_ntz, polled_until timestamp_ntz, collect_date string, run_id string"
 )
 
 COLLECT_EXCLUDE = (

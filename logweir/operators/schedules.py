@@ -127,6 +127,54 @@ def due_runs(schedules: DataFrame, run_ts: dt.datetime, taken: DataFrame | None
     return due.join(taken, ["schedule_key", "run_date", "run_index"], "left_anti")
 
 
+def due_between(schedules: DataFrame, after: dt.datetime, until: dt.datetime) -> DataFrame:
+    """Schedules that fired after `after` and not after `until`, however late the poll is.
+
+    One row for each schedule and date, with `schedule_key`, `run_date`, the `run_index` and
+    `run_at` of the last firing and the number of `firings` that it stands for: a run reads all
+    that is there, so those before it are made good by it.
+    """
+    days = F.explode(F.sequence(F.lit(after.date()), F.lit(until.date()))).alias("run_date")
+    rows = schedules.select("*", days).where(
+        weekday_digit(F.col("run_date")).between(F.col("day_from"), F.col("day_to"))
+    )
+
+    def seconds(moment: dt.datetime) -> Column:
+        """From the start of the run's date."""
+        second = moment.hour * 3600 + moment.minute * 60 + moment.second
+        return F.date_diff(F.lit(moment.date()), F.col("run_date")).cast("bigint") * 86400 + second
+
+    start, batch = F.col("start_sec"), F.col("schedule_type") == m.BATCH
+    step = F.when(batch, F.lit(1).cast("bigint")).otherwise(F.col("interval_min").cast("bigint") * 60)
+    end = F.when(batch, start).otherwise(F.col("end_sec"))
+    first = F.greatest(F.lit(0).cast("bigint"), F.floor((seconds(after) - start) / step) + 1)
+    last = F.floor((F.least(seconds(until), end) - start) / step)
+    rows = finish(
+        rows, rows.columns, first.alias("_first"), last.alias("run_index"), step.alias("_step")
+    ).where(F.col("run_index") >= F.col("_first"))
+    run_at = F.col("run_date").cast("timestamp_ntz") + F.make_dt_interval(
+        secs=F.col("start_sec") + F.col("run_index") * F.col("_step")
+    )
+    return rows.select(
+        *schedules.columns, schedule_key().alias("schedule_key"), "run_date", "run_index",
+        run_at.alias("run_at"), (F.col("run_index") - F.col("_first") + 1).alias("firings"),
+    )
+
+
+def missed_runs(
+    schedules: DataFrame, closed: DataFrame, first: dt.date, last: dt.date
+) -> DataFrame:
+    """Runs of the calendar that no closed run has made good.
+
+    `closed(schedule_key, run_date, run_index)` holds the runs that ended. A run makes good the
+    earlier ones of its schedule and date.
+    """
+    done = closed.groupBy("schedule_key", "run_date").agg(F.max("run_index").alias("_done"))
+    calendar = run_calendar(schedules, first, last).withColumn("schedule_key", schedule_key())
+    open_ = F.col("_done").isNull() | (F.col("run_index") > F.col("_done"))
+    return calendar.join(done, ["schedule_key", "run_date"], "left").where(open_).drop("_done")
+
+
 def run_calendar(schedules: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Every expected run from `first` to `last`: one row per schedule and firing time."""
     dates = F.sequence(F.lit(first), F.lit(last))

@@ -52,6 +52,15 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def folders(spark: SparkSession, parent: str) -> list[str]:
+    """Names of the folders in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(path) if s.isDirectory())
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` and give it back as a table read from what was written."""
     spark = df.sparkSession

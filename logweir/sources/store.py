@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir import model as m
-from logweir.sources.staging import exists
+from logweir.sources.staging import exists, folders
 
 CLOSE = "close"
 OPEN = "open"
@@ -18,6 +18,7 @@ TABLES = {
     "collect_reject": (m.COLLECT_REJECT, ["collect_date", "run_id"]),
     "collect_exclude": (m.COLLECT_EXCLUDE, ["exclude_date", "run_id"]),
     "segments": (m.SEGMENTS, ["collect_date", "run_id"]),
+    "polls": (m.POLLS, ["collect_date", "run_id"]),
     "history_events": (m.HISTORY_EVENTS, ["collect_date", "run_id", "stage"]),
 }
 
@@ -29,8 +30,18 @@ def create_store(spark: SparkSession, root: str) -> None:
             spark.createDataFrame([], schema).write.mode("append").parquet(f"{root}/{name}")
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name][0]).parquet(f"{root}/{name}")
+def read_table(
+    spark: SparkSession, root: str, name: str, since: str | None = None
+) -> DataFrame:
+    """A table; with `since` only its days from then on, and no older folder is looked at."""
+    reader = spark.read.schema(TABLES[name][0])
+    if since is None:
+        return reader.parquet(f"{root}/{name}")
+    day = f"{TABLES[name][1][0]}="
+    days = [n for n in folders(spark, f"{root}/{name}") if n.startswith(day) and n >= day + since]
+    if not days:
+        return spark.createDataFrame([], TABLES[name][0])
+    return reader.option("basePath", f"{root}/{name}").parquet(*[f"{root}/{name}/{n}" for n in days])
 
 
 def read_logs(spark: SparkSession, root: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 The stream only notes which files have new segments; the job then reads the landed files by their
 history, as a scheduled job does. A file over a limit or excluded therefore loses nothing: it
-stays where it landed and is read after its restore. Segments are immutable and land under new
-names (see `sources.lines`), and those read to their end are not opened again.
+stays where it landed and is read after its restore. Segments land under new names (see
+`sources.lines`), and those read to their end are not opened again. With `growing`, segments may
+also grow: `streaming.growth` notes files whose bytes have changed.
 
 A file belongs to a periodic schedule whose template can stand for it on any date, so that a
 segment which arrives after midnight still finds its schedule. Of several such schedules it is
@@ -29,9 +30,11 @@ from logweir.operators.exclusions import active_exclusions
 from logweir.operators.runs import FILE_COLUMNS
 from logweir.operators.schedules import SCHEDULE_COLUMNS, open_at, schedule_key, with_rules
 from logweir.plans.collect import collect_landed
+from logweir.plans.compact import past
 from logweir.sources.lines import LISTING
 from logweir.sources.staging import job_folder, stage
 from logweir.sources.store import CLOSE, OPEN, create_store, read_table
+from logweir.streaming.growth import growth_stream
 
 
 def segment_stream(spark: SparkSession, landed: str) -> DataFrame:
@@ -47,10 +50,11 @@ def collect_stream(
     checkpoint: str,
     clock: Callable[[], dt.datetime] = dt.datetime.now,
     options: dict | None = None,
+    growing: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """Start the stream. `options` go to `collect_landed`, `trigger` to the stream's trigger,
-    which is `availableNow=True` unless given."""
+    which is `availableNow=True` unless given. A checkpoint is for one kind of `growing`."""
     periodic = with_rules(schedules.select(*SCHEDULE_COLUMNS))
     periodic = periodic.where(F.col("schedule_type") == m.PERIODIC)
 
@@ -65,9 +69,12 @@ def collect_stream(
                 spark, store, landed, due, run_ts, run_id=run_id, clock=clock, **(options or {})
             )
 
+    if growing:
+        arrived = growth_stream(spark, landed, checkpoint)
+    else:
+        arrived = segment_stream(spark, landed)
     return (
-        segment_stream(spark, landed)
-        .writeStream.foreachBatch(collect_batch)
+        arrived.writeStream.foreachBatch(collect_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -121,7 +128,7 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def _first_try(spark: SparkSession, store: str, run_id: str) -> dt.datetime | None:
     """The time of a batch that had begun before, from its opening rows."""
-    opened = read_table(spark, store, "history_events").where(
+    opened = past(spark, store).events.where(
         (F.col("run_id") == run_id) & (F.col("stage") == OPEN)
     )
     return opened.agg(F.min("created_at")).first()[0]
@@ -129,8 +136,10 @@ def _first_try(spark: SparkSession, store: str, run_id: str) -> dt.datetime | No
 
 def _restored(spark: SparkSession, store: str) -> DataFrame:
     """Files whose newest run was skipped and which no exclusion blocks any more."""
-    events = read_table(spark, store, "history_events").where(F.col("stage") == CLOSE)
-    ended = events.where(F.col("collect_start_at").isNotNull())
+    known = past(spark, store)
+    ended = known.events.where(
+        (F.col("stage") == CLOSE) & F.col("collect_start_at").isNotNull()
+    ).unionByName(known.ended(), allowMissingColumns=True)
     newest = ended.groupBy(*FILE_COLUMNS).agg(
         F.max_by("collect_status", F.struct("collect_start_at", "collect_history_id")).alias("s")
     )
