@@ -84,13 +84,13 @@ def one_reader(facts: DataFrame) -> DataFrame:
     """
     reading = F.col("collect_status") == m.READING
     order = F.struct(F.col("schedule_type") != m.BATCH, "start_line", "run_key")
-    readers = facts.where(reading).groupBy(*FILE_COLUMNS).agg(F.min(order).alias("_first"))
-    readers = readers.select(*FILE_COLUMNS, F.col("_first.run_key").alias("_reader"))
-    behind = reading & (F.col("_reader") != F.col("run_key"))
-    return facts.join(readers, FILE_COLUMNS, "left").select(
+    # One window over rows of the schedule file; a second use of the facts would settle them twice.
+    first = F.min(F.when(reading, order)).over(W.partitionBy(*FILE_COLUMNS))
+    behind = reading & (F.col("_first.run_key") != F.col("run_key"))
+    return facts.withColumn("_first", first).select(
         *[c for c in facts.columns if c != "collect_status"],
         F.when(behind, m.BEHIND).otherwise(F.col("collect_status")).alias("collect_status"),
-        F.when(behind, F.col("_reader")).alias("reader_key"),
+        F.when(behind, F.col("_first.run_key")).alias("reader_key"),
     )
 
 
@@ -156,13 +156,10 @@ def follow_readers(outcomes: DataFrame) -> DataFrame:
 
     Where that run went over its limit, the file is excluded for them.
     """
-    readers = outcomes.where(F.col("collect_status") != m.BEHIND).select(
-        F.col("run_key").alias("reader_key"),
-        (F.col("collect_status") == m.SUCCESS).alias("_read"),
-        F.col("last_line_number").alias("_last"),
-    )
+    group = W.partitionBy(F.coalesce("reader_key", "run_key"))
     behind = F.col("collect_status") == m.BEHIND
-    read = behind & F.col("_read")
+    last = F.max(F.when(F.col("collect_status") == m.SUCCESS, F.col("last_line_number"))).over(group)
+    read = behind & F.col("_last").isNotNull()
     settled = {
         "start_line": F.when(read, F.col("_last") + 1),
         "last_line_number": F.when(read, F.col("_last")),
@@ -170,7 +167,7 @@ def follow_readers(outcomes: DataFrame) -> DataFrame:
         "collect_status": F.when(read, m.SUCCESS).otherwise(m.SKIP),
         "fail_reason": F.when(read, "").otherwise(m.EXCLUDED),
     }
-    return outcomes.join(readers, "reader_key", "left").select(
+    return outcomes.withColumn("_last", last).select(
         *[
             F.when(behind, settled[c]).otherwise(F.col(c)).alias(c) if c in settled else c
             for c in outcomes.columns

@@ -375,7 +375,6 @@ def run_job(
         else:
             done = done.unionByName(known.successes(), allowMissingColumns=True)
         exclude = read_table(spark, store, "collect_exclude").where(~own)
-        last_exclude_id = exclude.agg(F.max("collect_exclude_id")).first()[0] or 0
 
         stamp = F.lit(run_ts).cast("timestamp_ntz")
         opening = opening_events(runs.withColumn("stage", F.lit(OPEN)), stamp)
@@ -384,14 +383,16 @@ def run_job(
         found = collect_run(
             runs, sizes, read_lines, done, exclude, run_ts, ids_issued=top[1] or 0, **options
         )
-        exclusions = stage_numbered(
-            exclusion_rows(found.outcomes, stamp).withColumn("run_id", F.lit(run_id)),
-            "exclusions", "collect_exclude_id", last_exclude_id, small=True,
-        )
+        exclusions = exclusion_rows(found.outcomes, stamp).withColumn("run_id", F.lit(run_id))
         lease.make_sure()
         write_table(found.logs, store, "collect_log")
         write_table(found.rejects, store, "collect_reject")
-        write_table(exclusions, store, "collect_exclude")
+        if not exclusions.isEmpty():
+            last = exclude.agg(F.max("collect_exclude_id")).first()[0] or 0
+            exclusions = stage_numbered(
+                exclusions, "exclusions", "collect_exclude_id", last, small=True
+            )
+            write_table(exclusions, store, "collect_exclude")
         counted = getattr(read_lines, "counted", None)
         if counted is not None:
             marked_day = F.lit(f"{run_ts:%Y%m%d}").alias("collect_date")

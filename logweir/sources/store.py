@@ -6,6 +6,7 @@ dynamic partition overwrite: a job that is run again after a crash replaces what
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from logweir import model as m
 from logweir.sources.staging import exists, folders
@@ -56,12 +57,10 @@ def read_logs(spark: SparkSession, root: str) -> DataFrame:
 def write_table(df: DataFrame, root: str, name: str) -> None:
     """Write the partitions that `df` has rows for, in place of what they held."""
     schema, partitions = TABLES[name]
-    empty = df.sparkSession.createDataFrame([], schema)
-    missing = [c for c in empty.columns if c not in df.columns]
     full = df.select(
         *[
-            (F.lit(None) if f.name in missing else F.col(f.name)).cast(f.dataType).alias(f.name)
-            for f in empty.schema.fields
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in StructType.fromDDL(schema).fields
         ]
     )
     (
