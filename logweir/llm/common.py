@@ -21,6 +21,14 @@ def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [value or b"" for value in batch.column(name).to_pylist()]
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has: `name`, with underscores behind it if need be."""
+    taken = {column.lower() for table in tables for column in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc32_remainder(column: str, divisor: int):
     """crc32 of the value written as text, modulo `divisor`; null for a null value."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor

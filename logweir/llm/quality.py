@@ -2,13 +2,14 @@
 
 A document's strength is linear in features of its whole text. It is learned from preference
 pairs, a document labelled 1 over one labelled 0, by logistic loss on the difference of their
-features. The cut is the quantile of the learning documents' strengths at their share of label 0;
-the score is the logistic function of the strength above the cut, shifted so that the cut stands
-at `CUT`.
+features. The cut is the quantile of the strengths of all learnable labelled documents at their
+share of label 0, by an exact rank; the score is the logistic function of the strength above the
+cut, shifted so that the cut stands at `CUT`.
 
-The model is fitted on the driver from features (not texts) of at most `sample` labelled
-documents, those of the smallest hashes; that bound is the parameter. Scoring is one pass over
-the texts without a shuffle.
+The weights are fitted on the driver from features (not texts) of at most `sample` labelled
+documents, those of the smallest hashes, and of `pairs` preference pairs of them, drawn with
+replacement from a fixed seed; these bounds are the parameters. Strengths are one pass over the
+texts without a shuffle; they are written, and only numbers are joined and sorted for the cut.
 
 Defined results: null text is scored as empty. Null ids are scored and not held out; labels
 without id or quality are left out, contradicting labels count one each. Without labels of both
@@ -23,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import crc32_remainder
+from logweir.llm.common import crc32_remainder, fresh
+from logweir.sources.staging import stage, stage_numbered
 
 CUT = 0.3
 _UPPER = bytes(range(65, 91))
@@ -82,7 +84,10 @@ FEATURES = 32
 
 
 def fit(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, ridge: float = 1e-3) -> dict | None:
-    """Weights, cut and scaling from features and labels; None without both classes."""
+    """Weights and the cut of these rows, from features and labels; None without both classes.
+
+    At most `pairs` pairs of one row of each class are compared, drawn with replacement.
+    """
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(good) or not len(bad):
         return None
@@ -102,20 +107,44 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = 40_000, ridge: float = 1e-3)
     return {"weights": weights / spread, "shift": float(mean / spread @ weights + cut)}
 
 
-def score(model: dict | None, text: Column) -> Column:
-    """The score of a text column, between 0 and 1."""
+def strength(model: dict, text: Column) -> Column:
+    """The strength of a text column."""
 
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
-        if model is None or not len(texts):
-            return pa.array([0.5] * len(texts), pa.float64())
+        if not len(texts):
+            return pa.array([], pa.float64())
         x = np.array([features(t or b"") for t in texts.to_pylist()])
-        strength = x @ model["weights"] - model["shift"] + math.log(CUT / (1.0 - CUT))
-        return pa.array(1.0 / (1.0 + np.exp(-np.clip(strength, -700, 700))))
+        return pa.array(x @ model["weights"])
 
     return run(text.cast("binary"))
 
 
+def score(strength_: Column, cut: float) -> Column:
+    """The score of a strength, between 0 and 1."""
+    above = strength_ - F.lit(cut) + F.lit(math.log(CUT / (1.0 - CUT)))
+    return 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), above))))
+
+
+def learnable(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """_id and _quality of labels whose id's crc32 as text is not divisible by 5, each pair once."""
+    return (
+        labels.select(F.col(id_col).alias("_id"), F.col("quality").cast("int").alias("_quality"))
+        .where("_id is not null and _quality in (0, 1)")
+        .where(crc32_remainder("_id", 5) != 0)
+        .distinct()
+    )
+
+
+def cut_of(strengths: DataFrame, labels: DataFrame) -> float:
+    """The strength between the n-th and the next of all learnable labelled documents in rising
+    order, n being those of label 0. `strengths` has _id and strength."""
+    ranked = strengths.join(learnable(labels), "_id").select("strength", "_quality")
+    ranked = stage_numbered(ranked.orderBy("strength"), "ranked", "place")
+    bad = ranked.where("_quality = 0").count()
+    return ranked.where(F.col("place").isin(bad, bad + 1)).agg(F.avg("strength")).first()[0]
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -124,14 +153,7 @@ def learn(
     text_col: str = "text",
 ) -> dict | None:
     """A model from `labels` (id, quality), of ids whose crc32 as text is not divisible by 5."""
-    known = (
-        labels.select(F.col(id_col).alias("_id"), F.col("quality").cast("int").alias("_quality"))
-        .where("_id is not null and _quality in (0, 1)")
-        .where(crc32_remainder("_id", 5) != 0)
-        .distinct()
-        .orderBy(F.xxhash64("_id"), "_id", "_quality")
-        .limit(sample)
-    )
+    known = learnable(labels, id_col).orderBy(F.xxhash64("_id"), "_id", "_quality").limit(sample)
 
     @F.arrow_udf("array<double>")
     def measured(texts: pa.Array) -> pa.Array:
@@ -155,15 +177,28 @@ def learn(
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted (1 from a score of CUT on) of every row of `docs`."""
     model = learn(docs, labels)
-    held_out = F.coalesce(crc32_remainder("doc_id", 5) == 0, F.lit(False))
-    return docs.select(
-        F.col("doc_id"), held_out.alias("held_out"), score(model, F.col("text")).alias("score")
-    ).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+    if model is None:
+        rows = docs.select(F.col("doc_id").alias("_id"), F.lit(0.5).alias("score"))
+    else:
+        rows = docs.select(
+            F.col("doc_id").alias("_id"), strength(model, F.col("text")).alias("strength")
+        )
+        rows = stage(rows, "strengths")
+        rows = rows.select("_id", score(F.col("strength"), cut_of(rows, labels)).alias("score"))
+    held_out = F.coalesce(crc32_remainder("_id", 5) == 0, F.lit(False))
+    return rows.select(
+        F.col("_id").alias("doc_id"), held_out.alias("held_out"), "score",
+        (F.col("score") >= CUT).cast("int").alias("predicted"),
+    )
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that the classifier does not reject, unchanged."""
     model = learn(docs, labels)
-    columns = docs.columns
-    scored = docs.withColumn("_quality_score", score(model, F.col("text")))
-    return scored.where(F.col("_quality_score") >= CUT).select(*columns)
+    if model is None:
+        return docs
+    own = fresh("strength", docs)
+    scored = stage(docs.withColumn(own, strength(model, F.col("text"))), "scored")
+    strengths = scored.select(F.col("doc_id").alias("_id"), F.col(own).alias("strength"))
+    cut = cut_of(strengths, labels)
+    return scored.where(score(F.col(own), cut) >= CUT).select(*docs.columns)
