@@ -30,7 +30,7 @@ def test_candidates_do_not_overlap():
         spans = candidates(text)
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert candidates("") == []
-    assert candidates("9" * 5000) == []  # data, not a token
+    assert candidates("9" * 5000) == [(0, 5000, "run")]  # for the forest to judge
     assert [k for _, _, k in candidates(SECRETS[3])] == ["url"]
 
 
@@ -87,6 +87,30 @@ def test_long_values_are_judged():
         assert not is_secret("see " + "1234567890" * (size // 10) + " here")
         assert not is_secret("see " + "some-words-of-the-path/" * (size // 23 + 1) + "7 here")
         assert not is_secret("see " + "-" * size + "1 here")
+        for digit in "079":
+            assert not is_secret("see " + digit * size + " here")
+
+
+def test_many_candidates_are_linear():
+    import time
+
+    text = "".join(f"token{i}=Ab{i:07d}cdEfgh9xQ " for i in range(60_000))
+    start = time.perf_counter()
+    assert len(candidates(text)) == 60_000
+    assert time.perf_counter() - start < 10
+
+
+def test_trees_may_use_the_path():
+    draw = np.random.default_rng(3)
+    found = [(f"see {token(30, i)} here", "tests/a" if i % 2 else "src/a", 1 - i % 2) for i in range(300)]
+    forest, words = train(found), s.dictionary(None)
+
+    def judged(path):
+        text = f"see {token(30, int(draw.integers(1000, 2000)))} here"
+        (place,) = candidates(text)
+        return forest.predict(np.array([s.features(text, *place, path, words)]))[0]
+
+    assert judged("src/b") > 0.5 > judged("tests/b")
 
 
 def test_forest_learns_what_no_single_feature_says():
