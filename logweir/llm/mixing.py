@@ -19,6 +19,7 @@ shuffle_key are replaced. An empty table gives an empty result.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logweir.llm.common import fresh
 from logweir.sources.staging import stage
 
 HEX_DIGITS = 13  # 52 bits, which a double holds exactly
@@ -38,7 +39,8 @@ def rates(
     source_col: str = "source",
     text_col: str = "text",
 ) -> DataFrame:
-    """(_source, rate, cdf) per source; `weights` has columns source and weight.
+    """(_source, rate, cdf) per source; `weights` has columns source and weight, rows of one
+    source add up.
 
     `cdf` holds the Poisson distribution function at 0, 1, 2 and so on, far into its tail.
     """
@@ -47,7 +49,7 @@ def rates(
     if weights is None:
         sizes = sizes.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(temperature)))
     else:
-        given = weights.select(F.col("source").alias("_name"), "weight")
+        given = weights.groupBy(F.col("source").alias("_name")).agg(F.sum("weight").alias("weight"))
         sizes = sizes.join(given, F.col("_source").eqNullSafe(F.col("_name")), "left").select(
             "_source", "size", F.coalesce(F.col("weight").cast("double"), F.lit(0.0)).alias("weight")
         )
@@ -96,15 +98,21 @@ def mixed(
     columns = [c for c in docs.columns if c not in ("copy", "rate", "shuffle_key")]
     # Written, so that Spark sees its size and broadcasts it if it is small.
     per_source = stage(rates(docs, weights, budget, temperature, source_col, text_col), "rates")
+    name, own, copies = (fresh(c, docs) for c in ("_source", "_rate", "_copies"))
+    per_source = per_source.select(
+        F.col("_source").alias(name), F.struct("rate", "cdf").alias(own)
+    )
     draw = _uniform(F.lit(seed), F.col(id_col)) / F.lit(float(1 << 4 * HEX_DIGITS))
-    same = docs[source_col].eqNullSafe(F.col("_source"))
+    same = docs[source_col].eqNullSafe(F.col(name))
     return (
         docs.select(*columns)
         .join(per_source, same)
-        .withColumn("_draw", draw)
-        .withColumn("_copies", F.size(F.filter("cdf", lambda c: c <= F.col("_draw"))))
-        .where("_copies > 0")
-        .select(*columns, "rate", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))
+        .withColumn(copies, F.size(F.filter(F.col(f"{own}.cdf"), lambda c: c <= draw)))
+        .where(F.col(copies) > 0)
+        .select(
+            *columns, F.col(f"{own}.rate").alias("rate"),
+            F.explode(F.sequence(F.lit(1), F.col(copies))).alias("copy"),
+        )
         .withColumn("shuffle_key", _uniform(F.lit(seed), F.col(id_col), F.col("copy")))
         .repartition("shuffle_key")
         .sortWithinPartitions("shuffle_key")

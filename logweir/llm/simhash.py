@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweir.llm.common import binary_column, components
+from logweir.llm.common import binary_column, components, fresh
 from logweir.sources.staging import stage
 
 BYTES = 8
@@ -205,6 +205,15 @@ def simhash_components(
     )
 
 
+def _has_map(kind: T.DataType) -> bool:
+    """Whether a type holds a map or a variant, which have no order."""
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def simhash_dedup(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """`docs` with one row left of each component: that of the smallest doc_id.
 
@@ -214,38 +223,44 @@ def simhash_dedup(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFra
     rows = stage(fingerprints(docs, "doc_id", "text", words), "simhash")
     nulls_last = F.struct(F.col("first").isNull().alias("n"), "first", "fp")
     kept = _classes(rows, max_bits).groupBy("root").agg(F.min(nulls_last).alias("k"))
-    kept = stage(kept.select(F.col("k.first").alias("keep"), F.col("k.fp").alias("keep_fp")), "kept")
-    order = [F.col(c) for c in ("text", "source", "lang", "n_chars") if c in docs.columns]
+    keep, keep_fp, place, own_fp, text_bytes = (
+        fresh(c, docs) for c in ("_keep", "_keep_fp", "_place", "_fp", "_bytes")
+    )
+    kept = stage(kept.select(F.col("k.first").alias(keep), F.col("k.fp").alias(keep_fp)), "kept")
+    # The named columns first, then all that can be ordered: equal rows alone are exchangeable.
     columns = docs.columns
+    first = [c for c in ("text", "source", "lang", "n_chars") if c in columns]
+    rest = [f.name for f in docs.schema if f.name not in first and not _has_map(f.dataType)]
+    order = [F.col(f"`{c}`") for c in (*first, *rest)]
 
     def first_of(found: DataFrame, *key: str) -> DataFrame:
-        place = F.row_number().over(W.partitionBy(*key).orderBy(*order))
-        return found.withColumn("_place", place).where("_place = 1").select(*columns)
+        number = F.row_number().over(W.partitionBy(*key).orderBy(*order))
+        return found.withColumn(place, number).where(F.col(place) == 1).select(*columns)
 
     # An id that stands on texts with different fingerprints does not say which row is meant:
     # for those, if there are any, the fingerprint is computed again and joined as well.
     per_id = rows.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
     unclear = stage(per_id.where("low <> high or doc_id is null").select("doc_id"), "unclear")
-    own = docs["doc_id"].eqNullSafe(F.col("keep"))
+    own = docs["doc_id"].eqNullSafe(F.col(keep))
     if unclear.isEmpty():
         return first_of(docs.join(kept, own, "left_semi"), "doc_id")
-    clear = kept.join(unclear, F.col("keep").eqNullSafe(unclear["doc_id"]), "left_anti")
-    either = unclear.withColumnRenamed("doc_id", "keep")
+    clear = kept.join(unclear, F.col(keep).eqNullSafe(unclear["doc_id"]), "left_anti")
+    either = unclear.withColumnRenamed("doc_id", keep)
     again = docs.join(either, own, "left_semi")
-    again = again.withColumn("_bytes", F.col("text").cast("binary"))
-    schema = again.drop("_bytes").schema.add("_fp", T.LongType())
+    again = again.withColumn(text_bytes, F.col("text").cast("binary"))
+    schema = again.drop(text_bytes).schema.add(own_fp, T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t, words) for t in binary_column(batch, "_bytes")]
+            values = [fingerprint(t, words) for t in binary_column(batch, text_bytes)]
             fp = pa.array(np.array(values, np.uint64).view(np.int64))
-            rest = batch.drop_columns(["_bytes"])
+            rest = batch.drop_columns([text_bytes])
             yield pa.RecordBatch.from_arrays(
-                [*rest.columns, fp], [*rest.schema.names, "_fp"]
+                [*rest.columns, fp], [*rest.schema.names, own_fp]
             )
 
     again = again.mapInArrow(run, schema)
-    same = again["doc_id"].eqNullSafe(F.col("keep")) & (F.col("_fp") == F.col("keep_fp"))
+    same = again["doc_id"].eqNullSafe(F.col(keep)) & (F.col(own_fp) == F.col(keep_fp))
     return first_of(docs.join(clear, own, "left_semi"), "doc_id").unionByName(
-        first_of(again.join(kept, same, "left_semi"), "doc_id", "_fp")
+        first_of(again.join(kept, same, "left_semi"), "doc_id", own_fp)
     )
