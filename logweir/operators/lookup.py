@@ -15,7 +15,8 @@ def find_logs(
 ) -> DataFrame:
     """Logs of one collection date, server and type, of one log id if given, in time order.
 
-    The table is partitioned by date, so only that date is read. Equal times are ordered by path,
+    The table is partitioned by date, so only that date is read; within its files rows are ordered
+    by server, type and id (`sources.store`), so only the pages that hold them are. Equal times are ordered by path,
     line and the record's own id, so the order is total. `log_value_text` is the value as it was
     written, for those that the decimal type rounds or cannot hold. Raises ValueError if `logs`
     lacks a column.

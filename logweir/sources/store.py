@@ -24,6 +24,12 @@ TABLES = {
 }
 
 
+# Order of a table's rows within a file, and columns with a Bloom filter: what lookups ask for
+# stands together, so that a lookup reads a few pages of a day's files. Rows stay in their tasks.
+SORTED = {"collect_log": ["server_id", "log_type", "log_id", "log_timestamp"]}
+BLOOM = {"collect_log": ["log_id"]}
+
+
 def create_store(spark: SparkSession, root: str) -> None:
     """Make the folders of tables that do not exist yet."""
     for name, (schema, _) in TABLES.items():
@@ -63,9 +69,11 @@ def write_table(df: DataFrame, root: str, name: str) -> None:
             for f in StructType.fromDDL(schema).fields
         ]
     )
-    (
-        full.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(f"{root}/{name}")
-    )
+    if name in SORTED:
+        # The partition columns first, as Spark's own sort before a partitioned write has them.
+        full = full.sortWithinPartitions(*partitions, *SORTED[name])
+    writer = full.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    for column in BLOOM.get(name, []):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.adaptive.enabled#{column}", "true")
+    writer.partitionBy(*partitions).parquet(f"{root}/{name}")

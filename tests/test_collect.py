@@ -8,7 +8,7 @@ from logweir.operators.schedules import due_runs, parse_schedules
 from logweir.plans.collect import collect_history, collect_landed
 from logweir.sources.store import read_logs, read_table, write_table
 
-RECORD = "@@@[2026/06/12 09:00:01.123][{type}][{id}]|{content}|{tail}@@@\n"
+RECORD = "@@@[2026/06/12 04:56:07.089][{type}][{id}]|{content}|{tail}@@@\n"
 
 
 def number(i):

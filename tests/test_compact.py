@@ -8,7 +8,7 @@ from logweir.plans.collect import collect_landed
 from logweir.plans.compact import compact, past
 from logweir.sources.store import CLOSE, read_logs, read_table, write_table
 
-RECORD = "@@@[2026/06/12 09:00:01.123][정보][A]|{}|@@@\n"
+RECORD = "@@@[2026/06/12 04:56:07.089][정보][A]|{}|@@@\n"
 
 
 def _last(spark, store, day):

@@ -8,7 +8,7 @@ from logweir.sources.store import read_logs
 from logweir.streaming.collect_stream import collect_stream
 from logweir.streaming.growth import GrowthReader
 
-RECORD = "@@@[2026/06/12 09:00:01.123][정보][A]|{}|@@@\n"
+RECORD = "@@@[2026/06/12 04:56:07.089][정보][A]|{}|@@@\n"
 
 
 def _names(reader, start, end):

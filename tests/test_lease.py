@@ -61,7 +61,7 @@ def test_a_stale_listing_takes_nothing(spark, tmp_path):
 
 def test_two_jobs_at_once_give_one_set_of_rows(spark, tmp_path):
     landed, store = str(tmp_path / "landed"), str(tmp_path / "store")
-    record = "@@@[2026/06/12 09:00:01.123][정보][A]|x|@@@\n"
+    record = "@@@[2026/06/12 04:56:07.089][정보][A]|x|@@@\n"
     land(landed, "s", "/a.log", (record * 5).encode())
     line = "[s][ip][/a.log][주기|*|080000|1|235959]"
     due = parse_schedules(spark.createDataFrame([(line,)], "line string"))

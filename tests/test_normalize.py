@@ -5,21 +5,13 @@ import pytest
 
 from logweir.operators.normalize import accepted, normalize, parse_lines, rejected
 
-H = "@@@[2026/05/01 09:00:01.123]"
+H = "@@@[2031/11/23 04:56:07.089]"
 
 # line, outcome, value, content; None as outcome means a plain line, OK a record.
 VECTORS = [
-    (H + "[수치][QUEUE_LEN]|대기열|$17$@@@", "OK", "17", "대기열"),
-    (H + "[수치][BATCH_07]|야간 job_b7 남은 건수 $12$ 진행|@@@", "OK", "12",
-     "야간 job_b7 남은 건수 진행"),
-    (H + "[수치][BATCH_07]|앞 $1$ 뒤 $2$|@@@", "R11", None, None),
-    (H + "[비교][SUM_CHECK]|원장 합계$900$ 대사$898$|@@@", "OK", None, "원장 합계$900$ 대사$898$"),
-    (H + "[시간][END_AT]|마감 $18:05$|@@@", "OK", "1085", "마감 $18:05$"),
-    (H + "[시간][END_AT]|마감 $1805$|@@@", "R17", None, None),
-    (H + "[수치][queue_len]|대기열|$17$@@@", "R9", None, None),
     ("", None, None, None),
     (None, None, None, None),
-    ("[2026/05/01 09:00:01.123] INFO up", None, None, None),
+    ("[2031/11/23 04:56:07.089] INFO up", None, None, None),
     ("@@ @@", None, None, None),
     (H + "[정보][A]|x", "R1", None, None),
     (H + "[정보][A]|x|@@@ " + H + "[정보][B]|y|@@@", "R2", None, None),
@@ -28,8 +20,8 @@ VECTORS = [
     ("@@@@@@@@", "R3", None, None),
     ("@@@@@@@@@", "R2", None, None),
     ("@@@@@", "R1", None, None),
-    ("@@@[2026/05/01 09:00:01.12][정보][A]|x|@@@", "R3", None, None),
-    ("@@@ [2026/05/01 09:00:01.123][정보][A]|x|@@@", "R3", None, None),
+    ("@@@[2031/11/23 04:56:07.08][정보][A]|x|@@@", "R3", None, None),
+    ("@@@ [2031/11/23 04:56:07.089][정보][A]|x|@@@", "R3", None, None),
     (H + "[정보]|x|@@@", "R3", None, None),
     (H + "[][A]|x|@@@", "R3", None, None),
     (H + "[정보][]|x|@@@", "R3", None, None),
@@ -43,11 +35,11 @@ VECTORS = [
     (H + "[[정보][A]|x|@@@", "R8", None, None),
     (H + "[기타][a]|x|건@@@", "R7", None, None),
     (H + "[기타][a]|x|@@@", "R8", None, None),
-    (H + "[수치][" + "Q" * 31 + "]|대기열|$3$@@@", "R9", None, None),
-    (H + "[수치][" + "Q" * 30 + "]|대기열|$3$@@@", "OK", "3", "대기열"),
-    ("@@@[2026/13/01 09:00:01.123][수치][QUEUE_LEN]|대기열|$3$@@@", "R10", None, None),
+    (H + "[수치][" + "Z" * 31 + "]|x|$3$@@@", "R9", None, None),
+    (H + "[수치][" + "Z" * 30 + "]|x|$3$@@@", "OK", "3", "x"),
+    ("@@@[2031/13/23 04:56:07.089][존재][B]|x|@@@", "R10", None, None),
     (H + "[수치][A]|x|@@@", "R11", None, None),
-    (H + "[수치][A]|x|$07:35$@@@", "R12", None, None),
+    (H + "[수치][A]|x|$04:10$@@@", "R12", None, None),
     (H + "[수치][A]|x|$1,000$@@@", "R13", None, None),
     (H + "[수치][A]|x|$0x1F$@@@", "R13", None, None),
     (H + "[수치][A]|x|$1f$@@@", "R13", None, None),
@@ -57,15 +49,20 @@ VECTORS = [
     (H + "[수치][A]|x|$.5$@@@", "OK", "0.5", "x"),
     (H + "[수치][A]|x|$1.$@@@", "OK", "1", "x"),
     (H + "[비교][A]|x $1$|@@@", "R14", None, None),
-    (H + "[비교][A]|x $1$ $07:35$|@@@", "R15", None, None),
+    (H + "[비교][A]|x $1$ $04:10$|@@@", "R15", None, None),
     (H + "[비교][A]|x $abc$ y|$1$@@@", "OK", None, "x $abc$ y"),
-    (H + "[시간][A]|$07:35$ $07:36$|@@@", "R16", None, None),
+    (H + "[시간][A]|$04:10$ $22:59$|@@@", "R16", None, None),
+    (H + "[시간][A]|x|@@@", "R16", None, None),
+    (H + "[시간][A]|$930$|@@@", "R17", None, None),
+    (H + "[시간][A]|x|$$@@@", "R7", None, None),
+    (H + "[존재][B-2]|z|@@@", "R9", None, None),
+    (H + "[날짜][ A]|z|@@@", "R9", None, None),
     (H + "[시간][A]|$24:00$|@@@", "R18", None, None),
     (H + "[시간][A]|$12:60$|@@@", "R18", None, None),
-    (H + "[시간][A]|$7:35$|@@@", "R18", None, None),
-    (H + "[시간][A]|$07:35:00$|@@@", "R18", None, None),
-    (H + "[시간][A]|$+7:05$|@@@", "OK", "425", "$+7:05$"),
-    (H + "[시간][A]|$ 07:05 $|@@@", "OK", "425", "$ 07:05 $"),
+    (H + "[시간][A]|$4:10$|@@@", "R18", None, None),
+    (H + "[시간][A]|$04:10:00$|@@@", "R18", None, None),
+    (H + "[시간][A]|$+4:10$|@@@", "OK", "250", "$+4:10$"),
+    (H + "[시간][A]|$ 04:10 $|@@@", "OK", "250", "$ 04:10 $"),
     (H + "[정보][A]|x|$0$@@@", "R19", None, None),
     ("noise " + H + "[정보][A]|x|@@@ more", "OK", None, "x"),
     (H + "[정보][A]||@@@", "OK", None, ""),

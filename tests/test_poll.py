@@ -7,7 +7,7 @@ from logweir.plans.collect import collect_history
 from logweir.plans.poll import collect_polled, gaps, open_poll
 from logweir.sources.store import read_logs
 
-RECORD = "@@@[2026/06/12 09:00:01.123][정보][A]|{}|@@@\n"
+RECORD = "@@@[2026/06/12 04:56:07.089][정보][A]|{}|@@@\n"
 LINES = [
     "[s][ip][/b.log][배치|*|000030]", "[s][ip][/c.log][배치|5|235959]",
     "[s][ip][/d.log][주기|*|235800|1|235959]", "[s][ip][/e.log][주기|*|000001|1|000130]",

@@ -11,12 +11,12 @@ from logweir.operators.normalize import parse_lines
 
 PIECES = [
     "@@@", "@@", "@", "[", "]", "|", "||", "$", "$$", ":", " ", "  ", "\t", "\x01", "x", "가", "é", "😀",
-    "[2026/05/01 09:00:01.123]", "[2026/02/30 24:00:00.000]", "[2026/13/01 09:00:01.123]",
+    "[2026/05/01 04:56:07.089]", "[2026/02/30 24:00:00.000]", "[2026/13/01 04:56:07.089]",
     "[0000/01/01 00:00:00.000]", "[2026/05/01 09:00:01.12]",
     "[수치]", "[비교]", "[시간]", "[정보]", "[문구]", "[기타]", "[A_1]", "[a]", "[" + "Z" * 31 + "]",
     "$1$", "$-1.5e2$", "$ 7 $", "$+.5$", "$1,0$", "$07:35$", "$+7:05$", "$24:00$", "$1:2:3$", "$" + "9" * 40 + "$",
 ]
-TIMES = ["2026/05/01 09:00:01.123"] * 8 + ["2026/04/31 24:00:00.000", "2026/13/01 09:00:01.123"]
+TIMES = ["2026/05/01 04:56:07.089"] * 8 + ["2026/04/31 24:00:00.000", "2026/13/01 04:56:07.089"]
 HEADS = [f"@@@[{t}][{k}][A_1]|" for t in TIMES for k in ("수치", "비교", "시간", "정보")]
 
 

@@ -15,7 +15,7 @@ from logweir.plans.collect import LandedReader, collect_history, collect_landed
 from logweir.sources.ranges import block_lines
 from logweir.sources.store import read_logs, read_table
 
-RECORD = "@@@[2026/06/12 09:00:01.123][정보][A]|{}|@@@\n"
+RECORD = "@@@[2026/06/12 04:56:07.089][정보][A]|{}|@@@\n"
 CHARSETS = ["UTF-8", "EUC-KR", "UTF-16", "UTF-16LE", "UTF-16BE", "UTF-32", "UTF-32LE", "UTF-32BE"]
 
 

@@ -8,7 +8,7 @@ from logweir.plans.collect import collect_history
 from logweir.sources.store import read_logs, read_table, write_table
 from logweir.streaming.collect_stream import collect_stream
 
-RECORD = "@@@[2026/06/12 09:00:01.123][정보][A]|{}|@@@\n"
+RECORD = "@@@[2026/06/12 04:56:07.089][정보][A]|{}|@@@\n"
 
 
 def test_segments_continue_where_the_file_was_left(spark, tmp_path):
