@@ -197,8 +197,12 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = learn(docs, labels)
     if model is None:
         return docs
+    # Strengths are computed twice: once as numbers for the cut, and again beside the rows, so
+    # that the texts are not written once more.
+    strengths = docs.select(
+        F.col("doc_id").alias("_id"), strength(model, F.col("text")).alias("strength")
+    )
+    cut = cut_of(stage(strengths, "strengths"), labels)
     own = fresh("strength", docs)
-    scored = stage(docs.withColumn(own, strength(model, F.col("text"))), "scored")
-    strengths = scored.select(F.col("doc_id").alias("_id"), F.col(own).alias("strength"))
-    cut = cut_of(strengths, labels)
+    scored = docs.withColumn(own, strength(model, F.col("text")))
     return scored.where(score(F.col(own), cut) >= CUT).select(*docs.columns)
