@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from logweir.llm.common import worker_state
 from logweir.sources.staging import stage
 
-CACHE_WORDS = 600_000
+#: Bytes of remembered words, about, in each of two generations.
+CACHE_BYTES = 64 << 20
+_ENTRY_BYTES, _LETTER_BYTES = 300, 6  # of a word in the cache: its objects, each of its letters
 _SEPARATOR = "<|endoftext|>"
 # Marks that the tokenizer cuts off a letter before them (an apostrophe may belong to the word).
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -69,13 +71,15 @@ class WordTokenizer:
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.older = {"": b""}, self.known
+        if self.size > CACHE_BYTES:
+            self.known, self.older, self.size = {"": b""}, self.known, 0
         known = self.known
         if new := set(words).difference(known):
+            self.size += sum(_ENTRY_BYTES + _LETTER_BYTES * len(word) for word in new)
             for word in [w for w in new if w in self.older]:
                 known[word] = self.older[word]
                 new.discard(word)
@@ -168,6 +172,8 @@ def tokenized(
                 ],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        # The worker may live on; what the next task needs most is in the younger generation.
+        encode.older = {}
 
     return source.mapInArrow(
         run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
