@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from logweir.llm.ann import nearest
+from logweir.llm.ann import CollisionIndex, nearest
 
 VECTORS = "vec_id bigint, embedding array<float>, score double, rank int"
 
@@ -65,3 +65,27 @@ def test_unusual_vectors(spark):
     assert check(spark, rows) == 1.0
     assert check(spark, rows[:3]) == 1.0
     assert check(spark, []) == 1.0
+
+
+def test_share_of_verified_vectors():
+    """On clustered vectors few are verified; every query's neighbours are the true ones."""
+    class Counting(CollisionIndex):
+        verified = 0
+
+        def distances(self, query, which):
+            found = super().distances(query, which)
+            self.verified += len(found)
+            return found
+
+    draw = np.random.default_rng(2)
+    centres = draw.standard_normal((200, 64))
+    rows = centres[draw.integers(0, 200, 8000)] + 0.1 * draw.standard_normal((8000, 64))
+    index = Counting(np.arange(8000), rows, 40, 0.6)
+    index.verified, hits, queries = 0, 0, range(0, 8000, 200)
+    for i in queries:
+        found, _ = index.search(int(index.ids[i]), index.rows[i], 10)
+        exact = np.linalg.norm(index.rows - index.rows[i], axis=1)
+        exact[i] = np.inf
+        hits += len(set(found) & set(index.ids[np.argsort(exact)[:10]]))
+    assert hits >= 0.95 * 10 * len(queries)
+    assert index.verified < 0.05 * 8000 * len(queries)
