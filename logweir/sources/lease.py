@@ -15,6 +15,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 LASTS_SECONDS = 3600.0
@@ -46,7 +47,7 @@ class Lease:
         return sorted(int(name) for name in names if name.isdigit())
 
     def _read(self, number: int) -> dict:
-        """A lease's content; one that is being written counts as held since its file exists."""
+        """A lease's content; one that is being written, or cannot be read now, counts as held."""
         path = self._path(number)
         try:
             stream = self.files.open(path)
@@ -54,9 +55,12 @@ class Lease:
                 return json.loads(bytes(stream.readAllBytes()))
             finally:
                 stream.close()
-        except ValueError:
-            made = self.files.getFileStatus(path).getModificationTime() / 1000
-            return {"owner": "unknown", "token": None, "until": made + self.lasts}
+        except (ValueError, Py4JJavaError):
+            held = {"owner": "another writer", "token": None, "until": float("inf")}
+            if self.files.exists(path):
+                made = self.files.getFileStatus(path).getModificationTime() / 1000
+                held["until"] = made + self.lasts
+            return held
 
     def _write(self, number: int, overwrite: bool, until: float) -> None:
         content = json.dumps({"owner": self.owner, "token": self.token, "until": until})
@@ -73,7 +77,7 @@ class Lease:
                 raise StoreBusy(f"{self.folder} is held by {held['owner']}")
         try:
             self._write(last + 1, False, self.clock() + self.lasts)
-        except Exception as error:  # the file system's own exception: somebody was first
+        except Py4JJavaError as error:  # the file system's own: somebody may have been first
             if last + 1 in self._numbers():
                 raise StoreBusy(f"{self.folder} was taken by another writer") from error
             raise
