@@ -145,18 +145,18 @@ def test_a_batch_has_one_run_per_file(spark, tmp_path):
         "[s][ip][/a.yyyymmdd][주기|0|080000|1|120000]", "[s][ip][/a.yyyymmdd][주기|0|120001|1|235959]",
     ]
     schedules = parse_schedules(spark.createDataFrame([(x,) for x in lines], "line string"))
-    times = iter([dt.datetime(2026, 6, 12, 9), dt.datetime(2026, 6, 13, 9)])  # Friday, Saturday
 
-    def run():
+    def run(day):
+        now = dt.datetime(2026, 6, day, 9)
         collect_stream(
-            spark, landed, store, schedules, str(tmp_path / "checkpoint"), clock=lambda: next(times)
+            spark, landed, store, schedules, str(tmp_path / "checkpoint"), clock=lambda: now
         ).awaitTermination()
 
     land(landed, "s", "/a.log", (RECORD.format("p") * 3).encode(), "0001.log")
     land(landed, "s", "/a.20260614", RECORD.format("q").encode(), "0001.log")
-    run()
+    run(12)  # a Friday
     land(landed, "s", "/a.log", RECORD.format("r").encode(), "0002.log")
-    run()
+    run(13)
     rows = read_logs(spark, store).collect()
     assert len(rows) == len({r.collect_log_id for r in rows}) == 5
     runs = collect_history(spark, store).collect()
