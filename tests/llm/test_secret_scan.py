@@ -162,3 +162,16 @@ def test_findings_and_redaction(spark):
 def test_empty_table(spark):
     assert findings(docs(spark, [])).collect() == []
     assert redacted(docs(spark, [])).collect() == []
+
+
+def test_redaction_takes_one_python_step(spark):
+    rows = [(i, text) for i, text in enumerate([*SECRETS, *CLEAN, None, ""])]
+    df = redacted(docs(spark, rows))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    cleaned = {r.doc_id: r for r in df.collect()}
+    for i, text in rows:
+        changed = i < len(SECRETS)
+        assert ("[SECRET]" in (cleaned[i].text or "")) == changed
+        assert changed or cleaned[i].text == text
+        assert cleaned[i].n_chars == (None if text is None else len(cleaned[i].text))
